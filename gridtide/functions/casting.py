@@ -38,7 +38,9 @@ def parse_any(c: Column | str) -> Column:
     # Seconds since the epoch do not depend on the session's zone.
     since_epoch = F.make_dt_interval(secs=F.unix_micros(c.try_cast("timestamp")) / F.lit(1_000_000).cast("decimal(8,0)"))
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return F.when(c.rlike(NAMES_A_ZONE), epoch + since_epoch).otherwise(c.try_cast("timestamp_ntz"))
+    # The feeds' own layout is too short to name a zone, so it skips the pattern.
+    names_zone = (F.length(c) > len("yyyy-MM-dd HH:mm")) & c.rlike(NAMES_A_ZONE)
+    return F.when(names_zone, epoch + since_epoch).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def to_double(c: Column | str) -> Column:

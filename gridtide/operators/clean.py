@@ -33,41 +33,50 @@ def load_by_local_hour(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return _typed(raw, hours, schemas.LOAD_METRICS, casting.to_int, keep)
 
 
-def _by_utc_hour(raw: DataFrame, metrics: list[str], keep: Sequence[str], prefer: str | None) -> DataFrame:
+def _by_utc_hour(
+    raw: DataFrame, metrics: list[str], keep: Sequence[str], prefer: Sequence[str], total: bool
+) -> DataFrame:
     hours = {schemas.UTC_HOUR: casting.parse_any, schemas.LOCAL_HOUR: casting.parse_any}
-    extra = [prefer] if prefer and prefer not in keep else []
+    extra = [c for c in prefer if c not in keep]
     typed = _typed(raw, hours, metrics, casting.to_double, [*keep, *extra])
     present = typed.filter(F.col(schemas.UTC_HOUR).isNotNull())
-    return keep_one(present, [*keep, schemas.UTC_HOUR], prefer).drop(*extra)
+    return keep_one(present, [*keep, schemas.UTC_HOUR], prefer, total).drop(*extra)
 
 
-def price_by_utc_hour(raw: DataFrame, keep: Sequence[str] = (), prefer: str | None = None) -> DataFrame:
-    return _by_utc_hour(raw, schemas.PRICE_METRICS, keep, prefer)
+def price_by_utc_hour(
+    raw: DataFrame, keep: Sequence[str] = (), prefer: Sequence[str] = (), total: bool = False
+) -> DataFrame:
+    return _by_utc_hour(raw, schemas.PRICE_METRICS, keep, prefer, total)
 
 
-def load_by_utc_hour(raw: DataFrame, keep: Sequence[str] = (), prefer: str | None = None) -> DataFrame:
-    return _by_utc_hour(raw, schemas.LOAD_METRICS, keep, prefer)
+def load_by_utc_hour(
+    raw: DataFrame, keep: Sequence[str] = (), prefer: Sequence[str] = (), total: bool = False
+) -> DataFrame:
+    return _by_utc_hour(raw, schemas.LOAD_METRICS, keep, prefer, total)
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], prefer: str | None = None) -> DataFrame:
-    """One row per key, always the same one.
+def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), total: bool = False) -> DataFrame:
+    """One row per key, always the same one: the greatest, compared on the
+    ``prefer`` columns first and on the others after them.
 
-    With ``prefer`` the row with the greatest value of that column survives; it
-    must tell the rows of one key apart. Without it the greatest row counts,
-    compared column by column. Either way this is an aggregate, combined before
-    the shuffle: a key repeated in a third of all rows sends one row per task,
-    where a row_number() over the key would sort them all in one task.
+    This is an aggregate, combined before the shuffle: a key repeated in a
+    third of all rows sends one row per task, where a row_number() over the key
+    would sort them all in one task. ``total`` promises that the one ``prefer``
+    column is never null and tells the rows of a key apart; then no row has to
+    be compared as a whole, and the aggregate needs no sort.
     """
-    keys = list(keys)
+    keys, prefer = list(keys), list(prefer)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    if prefer:
-        picked = [F.max_by(c, prefer).alias(c) for c in rest if c != prefer]
-        one = df.groupBy(*keys).agg(F.max(prefer).alias(prefer), *picked)
+    if total:
+        (newest,) = prefer
+        picked = [F.max_by(c, newest).alias(c) for c in rest if c != newest]
+        one = df.groupBy(*keys).agg(F.max(newest).alias(newest), *picked)
     else:
-        whole = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("row"))
-        one = whole.select(*keys, *[F.col("row").getField(c).alias(c) for c in rest])
+        compared = F.struct(*prefer, *[c for c in rest if c not in prefer])
+        row = df.groupBy(*keys).agg(F.max(compared).alias("row"))
+        one = row.select(*keys, *[F.col("row").getField(c).alias(c) for c in rest])
     return one.select(*df.columns)
 
 

@@ -28,9 +28,10 @@ def affected_days(hourly: DataFrame, batch: DataFrame, computed_at=None, series:
     """Daily rows for the dates in the batch, from all stored hours of those
     dates (a batch may hold only part of a day).
 
-    The dates meet the hours after both are aggregated, so the semi join works
-    on one row per day rather than on the hours; a date filter on a partitioned
-    table belongs in front of this (``gridtide.sources.tables`` does so).
+    The semi join stands on the aggregate, one row per day. If the dates are
+    few enough to broadcast Spark moves it down to the hours; if not, it stays
+    and no hours are shuffled by date. Over a date-partitioned table read only
+    the partitions concerned instead (``gridtide.sources.tables`` does so).
     """
     days = daily_rows(hourly, computed_at, series)
     return days.join(batch_dates(batch, series=series), [*series, day.GRID_DATE], "left_semi")

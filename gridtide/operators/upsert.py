@@ -7,7 +7,7 @@ hands it only the partitions a batch touches.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,9 +103,12 @@ def upsert_silver(current: DataFrame, batch: DataFrame, layout, series: Sequence
     return upsert(current, batch, keys, replace, ["created_at"]).select(*series, *layout.names)
 
 
-def constraint_report(df: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
-    """One row: how many rows, distinct keys, rows with a null key, keys that
-    repeat, and rows lacking a required column.
+def constraint_report(
+    df: DataFrame, keys: Sequence[str], required: Sequence[str] = (), by: Column | None = None
+) -> DataFrame:
+    """How many rows, distinct keys, rows with a null key, keys that repeat,
+    and rows lacking a required column: one row in all, or one per value of
+    ``by`` (an expression over the keys).
 
     Counting per key first keeps a hot key to one partial row per task, and
     every figure comes out of the same pass.
@@ -117,8 +120,9 @@ def constraint_report(df: DataFrame, keys: Sequence[str], required: Sequence[str
     for r in required:
         lacking = lacking | F.col(r).isNull()
     per_key = df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(lacking).alias("lacking"))
+    grouped = per_key.groupBy() if by is None else per_key.groupBy(by.alias("part"))
     zero = F.lit(0)
-    return per_key.agg(
+    return grouped.agg(
         F.coalesce(F.sum("n"), zero).alias("n_rows"),
         F.count_if(~null_key).alias("n_keys"),
         F.coalesce(F.sum(F.when(null_key, F.col("n"))), zero).alias("null_key_rows"),
@@ -127,14 +131,18 @@ def constraint_report(df: DataFrame, keys: Sequence[str], required: Sequence[str
     )
 
 
-def check_constraints(df: DataFrame, keys: Sequence[str], required: Sequence[str] = ()) -> Mapping[str, int]:
+def check_constraints(
+    df: DataFrame, keys: Sequence[str], required: Sequence[str], by: Column
+) -> dict[object, dict[str, int]]:
     """Fail the batch if a key is null or repeated or a required column is
-    null; otherwise return the counts."""
-    counts = constraint_report(df, keys, required).first().asDict()
-    broken = {k: counts[k] for k in ("null_key_rows", "repeated_keys", "null_required_rows") if counts[k]}
+    null; otherwise return the counts per value of ``by``, a date derived from
+    the key: only as many rows as there are dates come to the driver."""
+    by_part = {r["part"]: r.asDict() for r in constraint_report(df, keys, required, by).collect()}
+    faults = ("null_key_rows", "repeated_keys", "null_required_rows")
+    broken = {f: n for f in faults if (n := sum(counts[f] for counts in by_part.values()))}
     if broken:
         raise ValueError(f"batch violates the key on {list(keys)}: {broken}")
-    return counts
+    return by_part
 
 
 def load_verification(table: DataFrame, batch: DataFrame, run_id: str, keys: Sequence[str] = (schemas.LOCAL_HOUR,)) -> DataFrame:

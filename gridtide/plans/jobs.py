@@ -18,7 +18,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 from gridtide import schemas
-from gridtide.operators import clean, grid
+from gridtide.operators import grid
+from gridtide.plans.feeds import LOAD, PRICE
 from gridtide.session import build_session
 from gridtide.sources import reports, tables
 from gridtide.sources.datasets import read_dataset, write_dataset
@@ -29,14 +30,13 @@ log = logging.getLogger(__name__)
 def build_grid(spark: SparkSession, data: str) -> int:
     """All landed price and load files to one joined hourly dataset. Fails on
     any local hour that a feed reports twice."""
-    raw_price = reports.read_enveloped(
-        spark, f"{data}/raw/{schemas.PRICE_PREFIX}_*.json", schemas.PRICE_REPORT, schemas.PRICE_RECORD
+    price, load = (
+        feed.by_local_hour(
+            reports.read_enveloped(spark, f"{data}/raw/{feed.landing_prefix}_*.json", feed.report, feed.record)
+        )
+        for feed in (PRICE, LOAD)
     )
-    raw_load = reports.read_enveloped(
-        spark, f"{data}/raw/{schemas.LOAD_PREFIX}_*.json", schemas.LOAD_REPORT, schemas.LOAD_RECORD
-    )
-    joined = grid.merge_feeds(clean.price_by_local_hour(raw_price), clean.load_by_local_hour(raw_load))
-    rows = write_dataset(joined, f"{data}/clean/{schemas.GRID_DATASET}")
+    rows = write_dataset(grid.merge_feeds(price, load), f"{data}/clean/{schemas.GRID_DATASET}")
     log.info("joined grid: %d hours", rows)
     return rows
 
@@ -53,18 +53,14 @@ def load_grid(spark: SparkSession, data: str, store: str, run_id: str | None = N
 def build_silver(spark: SparkSession, data: str) -> dict[str, int]:
     """Each window report to its clean dataset; a report that is missing or
     empty is skipped and leaves its dataset as it was."""
-    feeds = [
-        (schemas.PRICE_WINDOW_FILE, schemas.PRICE_REPORT, schemas.PRICE_RECORD, clean.price_by_utc_hour, schemas.PRICE_DATASET),
-        (schemas.LOAD_WINDOW_FILE, schemas.LOAD_REPORT, schemas.LOAD_RECORD, clean.load_by_utc_hour, schemas.LOAD_DATASET),
-    ]
     done = {}
-    for file, report, record, cleaned, dataset in feeds:
-        raw = reports.read_any_shape(spark, f"{data}/raw/{file}", report, record)
+    for feed in (PRICE, LOAD):
+        raw = reports.read_any_shape(spark, f"{data}/raw/{feed.window_file}", feed.report, feed.record)
         if raw.isEmpty():
-            log.warning("no records for %s", report)
+            log.warning("no records for %s", feed.report)
             continue
-        done[dataset] = write_dataset(cleaned(raw), f"{data}/clean/{dataset}")
-        log.info("%s: %d rows", dataset, done[dataset])
+        done[feed.dataset] = write_dataset(feed.by_utc_hour(raw), f"{data}/clean/{feed.dataset}")
+        log.info("%s: %d rows", feed.dataset, done[feed.dataset])
     return done
 
 
@@ -72,11 +68,11 @@ def load_silver(spark: SparkSession, data: str, store: str, as_of=None) -> dict[
     """Whatever clean datasets exist into their tables, each on its own."""
     market = tables.MarketStore(spark, store)
     done = {}
-    for dataset, table in [(schemas.PRICE_DATASET, tables.SILVER_PRICE), (schemas.LOAD_DATASET, tables.SILVER_LOAD)]:
-        cleaned = read_dataset(spark, f"{data}/clean/{dataset}")
+    for feed in (PRICE, LOAD):
+        cleaned = read_dataset(spark, f"{data}/clean/{feed.dataset}")
         if cleaned is not None:
-            done[table.name] = market.load_silver(table, cleaned, as_of)
-            log.info("%s: %d rows", table.name, done[table.name])
+            done[feed.table.name] = market.load_silver(feed.table, cleaned, as_of)
+            log.info("%s: %d rows", feed.table.name, done[feed.table.name])
     return done
 
 

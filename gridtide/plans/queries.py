@@ -320,7 +320,7 @@ def clean_and_dedup(spark, sf):
         F.when(kind == "click", F.lit(" ")).otherwise(value).alias("forecast_pool_price"),
         F.when(kind == "view", F.lit("n/a")).otherwise(value).alias("rolling_30day_avg"),
     )
-    return clean.price_by_utc_hour(raw, prefer="event_id")
+    return clean.price_by_utc_hour(raw, prefer=["event_id"], total=True)
 
 
 @query

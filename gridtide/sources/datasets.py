@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything a glob stands for, exists on its file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return found is not None and len(found) > 0
 
 
 def write_dataset(df: DataFrame, path: str, partition_by: str | None = None) -> int:
@@ -24,12 +29,6 @@ def write_dataset(df: DataFrame, path: str, partition_by: str | None = None) ->
     return seen.get["n_rows"]
 
 
-def read_dataset(spark: SparkSession, path: str | list[str], layout: T.StructType | None = None) -> DataFrame | None:
+def read_dataset(spark: SparkSession, path: str) -> DataFrame | None:
     """A dataset, or None if there is none at the path."""
-    reader = spark.read if layout is None else spark.read.schema(layout)
-    try:
-        return reader.parquet(path) if isinstance(path, str) else reader.parquet(*path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(path) if path_exists(spark, path) else None

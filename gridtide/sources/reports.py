@@ -8,13 +8,14 @@ in driver Python, and no schema is inferred.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide import schemas
+from gridtide.sources.datasets import path_exists
 
 LANDED_ON = "landing_date"
 # Landing files are named <prefix>_<yyyy-MM-dd>.json.
@@ -40,30 +41,6 @@ def flatten(docs: DataFrame, records: Column, record: T.StructType, keep: list[s
     )
 
 
-def records_of(doc: Column, report: str, record: T.StructType, strict: bool = False) -> Column:
-    """The record array inside one JSON document, whichever shape it has.
-
-    * an object under ``return``: the report inside it, or nothing at all if
-      that object lacks the report;
-    * otherwise the report at the top level;
-    * otherwise, for a bare list, the list itself;
-    * otherwise nothing.
-
-    One declared schema covers both object shapes, so each document is parsed
-    once: a ``return`` that is not an object reads as NULL, which is just the
-    case in which the top level counts. With ``strict`` a document that is no
-    JSON at all fails the job instead of yielding nothing.
-    """
-    parsed = F.from_json(doc, envelope_type(report, record))
-    wrapped = parsed.getField(schemas.ENVELOPE)
-    from_object = F.when(wrapped.isNotNull(), wrapped.getField(report)).otherwise(parsed.getField(report))
-    found = F.when(doc.rlike(STARTS_LIST), F.from_json(doc, T.ArrayType(record))).otherwise(from_object)
-    if not strict:
-        return found
-    unreadable = F.get_json_object(doc, "$").isNull() & (F.trim(doc) != "null")
-    return F.when(unreadable, F.raise_error(F.lit(f"unreadable JSON document for {report}"))).otherwise(found)
-
-
 def parse_documents(
     docs: DataFrame,
     doc: str,
@@ -72,44 +49,66 @@ def parse_documents(
     keep: list[str] | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """Flat report rows from a column of JSON documents of any known shape."""
-    return flatten(docs, records_of(F.col(doc), report, record, strict), record, keep)
+    """Flat report rows from a column of JSON documents of any known shape.
 
+    * an object under ``return``: the report inside it, or nothing at all if
+      that object lacks the report;
+    * otherwise the report at the top level;
+    * otherwise, for a bare list, the list itself;
+    * otherwise nothing.
 
-def _or_empty(read, spark: SparkSession, record: T.StructType) -> DataFrame:
-    """Run a reader; a path that matches nothing is an empty report."""
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return empty_report(spark, record)
-        raise
+    One declared schema covers all of them, so each document is parsed once: a
+    bare list is read as if it stood under the report's name, and a ``return``
+    that is not an object reads as NULL, which is just the case in which the
+    top level counts. With ``strict`` a document that is no JSON at all fails
+    the job instead of yielding nothing.
+    """
+    keep = keep or []
+    text = F.col(doc)
+    named = F.concat(F.lit("{" + json.dumps(report) + ":"), text, F.lit("}"))
+    as_object = F.when(text.rlike(STARTS_LIST), named).otherwise(text)
+    parsed = docs.select(*keep, text.alias("_doc"), F.from_json(as_object, envelope_type(report, record)).alias("_parsed"))
+    wrapped = F.col("_parsed").getField(schemas.ENVELOPE)
+    direct = F.col("_parsed").getField(report)
+    found = F.when(wrapped.isNotNull(), wrapped.getField(report)).otherwise(direct)
+    if strict:
+        # Only documents that gave nothing are looked at a second time.
+        unreadable = wrapped.isNull() & direct.isNull() & F.get_json_object("_doc", "$").isNull() & (F.trim("_doc") != "null")
+        message = F.lit(f"unreadable JSON document for {report}")
+        found = F.when(unreadable, F.raise_error(message)).otherwise(found)
+    return flatten(parsed, found, record, keep)
+
+
+def _landed(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The given paths or globs that stand for anything at all."""
+    paths = [path] if isinstance(path, str) else path
+    return [p for p in paths if path_exists(spark, p)]
 
 
 def read_enveloped(spark: SparkSession, path: str | list[str], report: str, record: T.StructType) -> DataFrame:
     """Wrapped reports (``return`` around the report), any number of files.
 
     ``path`` may hold globs; Spark expands them. The JSON reader streams each
-    file, so no document is ever held as one string.
+    file, so no document is ever held as one string. Paths that match nothing
+    give an empty report.
     """
-
-    def read() -> DataFrame:
-        docs = spark.read.schema(envelope_type(report, record)).option("multiLine", True).json(path)
-        return flatten(docs, F.col(schemas.ENVELOPE).getField(report), record)
-
-    return _or_empty(read, spark, record)
+    paths = _landed(spark, path)
+    if not paths:
+        return empty_report(spark, record)
+    docs = spark.read.schema(envelope_type(report, record)).option("multiLine", True).json(paths)
+    return flatten(docs, F.col(schemas.ENVELOPE).getField(report), record)
 
 
 def read_any_shape(
     spark: SparkSession, path: str | list[str], report: str, record: T.StructType, strict: bool = True
 ) -> DataFrame:
-    """Reports in any of the accepted shapes, one document per file."""
-
-    def read() -> DataFrame:
-        docs = spark.read.text(path, wholetext=True)
-        return parse_documents(docs, "value", report, record, strict=strict)
-
-    return _or_empty(read, spark, record)
+    """Reports in any of the accepted shapes, one document per file; paths
+    that match nothing give an empty report."""
+    paths = _landed(spark, path)
+    if not paths:
+        return empty_report(spark, record)
+    docs = spark.read.text(paths, wholetext=True)
+    return parse_documents(docs, "value", report, record, strict=strict)
 
 
 def landing_date(file_name: Column | str) -> Column:
@@ -145,22 +144,19 @@ def read_landing(
     The date filter is on the file name, a per-file constant, so files outside
     the range are dropped while the scan is planned and never opened.
     """
-    layout = T.StructType([*record.fields, T.StructField(LANDED_ON, T.DateType())])
-
-    def read() -> DataFrame:
-        docs = (
-            spark.read.schema(envelope_type(report, record))
-            .option("multiLine", True)
-            .option("pathGlobFilter", f"{prefix}_*.json")
-            .json(folder)
-        )
-        landed = landing_date(F.col("_metadata.file_name"))
-        if first is not None:
-            docs = docs.filter(landed >= F.lit(first))
-        if last is not None:
-            docs = docs.filter(landed <= F.lit(last))
-        docs = docs.withColumn(LANDED_ON, landed)
-        flat = flatten(docs, F.col(schemas.ENVELOPE).getField(report), record, keep=[LANDED_ON])
-        return flat.select(*layout.names)
-
-    return _or_empty(read, spark, layout)
+    if not path_exists(spark, f"{folder}/{prefix}_*.json"):
+        return empty_report(spark, T.StructType([*record.fields, T.StructField(LANDED_ON, T.DateType())]))
+    docs = (
+        spark.read.schema(envelope_type(report, record))
+        .option("multiLine", True)
+        .option("pathGlobFilter", f"{prefix}_*.json")
+        .json(folder)
+    )
+    landed = landing_date(F.col("_metadata.file_name"))
+    if first is not None:
+        docs = docs.filter(landed >= F.lit(first))
+    if last is not None:
+        docs = docs.filter(landed <= F.lit(last))
+    docs = docs.withColumn(LANDED_ON, landed)
+    flat = flatten(docs, F.col(schemas.ENVELOPE).getField(report), record, keep=[LANDED_ON])
+    return flat.select(*record.names, LANDED_ON)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,36 +26,36 @@ from pyspark.sql import types as T
 
 from gridtide import schemas
 from gridtide.operators import refresh, upsert
-from gridtide.sources.datasets import read_dataset, write_dataset
+from gridtide.sources.datasets import path_exists, write_dataset
 
 
 @dataclass(frozen=True)
 class Table:
+    """``part`` derives a row's partition from its key, so a key can only ever
+    be in one partition. ``monthly`` partitions start at the month's first."""
+
     name: str
     layout: T.StructType
-    keys: tuple[str, ...]
-    part: Callable[[], Column]
-
-
-# A key fixes its partition, so a key can only ever be in one of them.
-HOURLY = Table(
-    "raw_hourly_grid", schemas.HOURLY_GRID, (schemas.LOCAL_HOUR,), lambda: F.to_date(schemas.LOCAL_HOUR)
-)
-DAILY = Table("daily_grid_agg", schemas.DAILY_GRID, ("grid_date",), lambda: F.trunc("grid_date", "month"))
-SILVER_PRICE = Table(
-    "silver_pool_price", schemas.SILVER_PRICE, (schemas.UTC_HOUR,), lambda: F.to_date(schemas.UTC_HOUR)
-)
-SILVER_LOAD = Table(
-    "silver_actual_forecast_load", schemas.SILVER_LOAD, (schemas.UTC_HOUR,), lambda: F.to_date(schemas.UTC_HOUR)
-)
-
-COMMIT = T.StructType(
-    [
-        T.StructField("commit", T.LongType()),
-        T.StructField("table", T.StringType()),
-        T.StructField("part", T.DateType()),
-    ]
-)
+    key: str
+    monthly: bool = False
+
+    def part(self) -> Column:
+        return F.trunc(self.key, "month") if self.monthly else F.to_date(self.key)
+
+    def part_of(self, day: dt.date) -> dt.date:
+        return day.replace(day=1) if self.monthly else day
+
+
+HOURLY = Table("raw_hourly_grid", schemas.HOURLY_GRID, schemas.LOCAL_HOUR)
+DAILY = Table("daily_grid_agg", schemas.DAILY_GRID, "grid_date", monthly=True)
+SILVER_PRICE = Table("silver_pool_price", schemas.SILVER_PRICE, schemas.UTC_HOUR)
+SILVER_LOAD = Table("silver_actual_forecast_load", schemas.SILVER_LOAD, schemas.UTC_HOUR)
+
+PART = T.StructField("part", T.DateType())
+COMMIT = T.StructType([T.StructField("commit", T.LongType()), T.StructField("table", T.StringType()), PART])
+
+# The commit that holds each live partition, by table and partition.
+Live = dict[tuple[str, dt.date], int]
 
 
 class MarketStore:
@@ -71,65 +71,55 @@ class MarketStore:
         self.series_fields = list(series)
         self.series = [f.name for f in series]
 
-    # -- reading ---------------------------------------------------------
-
     def layout(self, table: Table) -> T.StructType:
         return T.StructType([*self.series_fields, *table.layout.fields])
 
     def keys(self, table: Table) -> list[str]:
-        return [*self.series, *table.keys]
-
-    def _commits(self) -> DataFrame:
-        log = read_dataset(self.spark, f"{self.root}/commits", COMMIT)
-        return self.spark.createDataFrame([], COMMIT) if log is None else log
-
-    def _live(self, table: Table) -> DataFrame:
-        mine = self._commits().filter(F.col("table") == table.name)
-        return mine.groupBy("part").agg(F.max("commit").alias("commit"))
-
-    def read(
-        self,
-        table: Table,
-        first: dt.date | None = None,
-        last: dt.date | None = None,
-        parts: DataFrame | None = None,
-    ) -> DataFrame:
-        """The live rows, or those of the partitions first..last or ``parts``.
+        return [*self.series, table.key]
+
+    # -- reading ---------------------------------------------------------
+
+    def live(self) -> Live:
+        path = f"{self.root}/commits"
+        if not path_exists(self.spark, path):
+            return {}
+        log = self.spark.read.schema(COMMIT).parquet(path)
+        newest = log.groupBy("table", "part").agg(F.max("commit").alias("commit"))
+        return {(r.table, r.part): r.commit for r in newest.collect()}
+
+    def read(self, table: Table, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+        """The live rows, of all partitions or those with days in first..last.
         Only the folders of those partitions are listed and read."""
-        live = self._live(table)
-        if first is not None:
-            live = live.filter(F.col("part") >= F.trunc(F.lit(first), "month" if table is DAILY else "day"))
-        if last is not None:
-            live = live.filter(F.col("part") <= F.lit(last))
-        if parts is not None:
-            live = live.join(parts, "part", "left_semi")
-        folders = [f"{self._folder(table, r.commit)}/part={r.part}" for r in live.collect()]
-        if not folders:
+        low = dt.date.min if first is None else table.part_of(first)
+        high = dt.date.max if last is None else last
+        live = self.live()
+        return self._read(table, live, [part for name, part in live if name == table.name and low <= part <= high])
+
+    def _folder(self, table: Table, commit: int) -> str:
+        return f"{self.root}/{table.name}/commit={commit}"
+
+    def _read(self, table: Table, live: Live, parts: Iterable[dt.date]) -> DataFrame:
+        held = sorted((p, live[table.name, p]) for p in parts if (table.name, p) in live)
+        if not held:
             return self.spark.createDataFrame([], self.layout(table))
+        folders = [f"{self._folder(table, commit)}/part={part}" for part, commit in held]
         return self.spark.read.schema(self.layout(table)).parquet(*folders)
 
     # -- writing ---------------------------------------------------------
 
-    def _folder(self, table: Table, commit: int) -> str:
-        return f"{self.root}/{table.name}/commit={commit}"
-
-    def _next_commit(self) -> int:
-        return (self._commits().agg(F.max("commit")).first()[0] or 0) + 1
+    def _check(self, table: Table, batch: DataFrame, required: Sequence[str] = ()) -> dict[dt.date, int]:
+        """Keys per partition the batch touches, after checking them."""
+        by_part = upsert.check_constraints(batch, self.keys(table), required, by=table.part())
+        return {part: counts["n_keys"] for part, counts in by_part.items()}
 
-    def _merge(self, table: Table, commit: int, batch: DataFrame, merge) -> DataFrame:
-        """Merge a batch into the partitions it touches and return the rows
-        those partitions now hold."""
-        parts = batch.select(table.part().alias("part")).distinct()
-        merged = merge(self.read(table, parts=parts), batch)
+    def _merge(self, table: Table, commit: int, current: DataFrame, batch: DataFrame, merge) -> DataFrame:
+        """Write current rows with the batch merged in; return what was written."""
         folder = self._folder(table, commit)
-        write_dataset(merged.withColumn("part", table.part()), folder, partition_by="part")
-        written = self.spark.read.schema(T.StructType([*self.layout(table).fields, COMMIT["part"]]))
-        return written.option("basePath", folder).parquet(folder)
-
-    def _publish(self, commit: int, written: dict[str, DataFrame]) -> None:
-        rows = [
-            (commit, name, row.part) for name, df in written.items() for row in df.select("part").distinct().collect()
-        ]
+        write_dataset(merge(current, batch).withColumn(PART.name, table.part()), folder, partition_by=PART.name)
+        return self.spark.read.schema(T.StructType([*self.layout(table).fields, PART])).parquet(folder)
+
+    def _publish(self, commit: int, parts: dict[str, set[dt.date]]) -> None:
+        rows = [(commit, name, part) for name, touched in parts.items() for part in sorted(touched)]
         log = self.spark.createDataFrame(rows, COMMIT).coalesce(1)
         log.write.mode("append").parquet(f"{self.root}/commits")
 
@@ -138,31 +128,49 @@ class MarketStore:
         both tables together. Returns the number of hours loaded."""
         run_id = run_id or str(uuid.uuid4())
         batch = upsert.hourly_batch(grid, run_id, as_of, self.series)
-        counts = upsert.check_constraints(batch, self.keys(HOURLY))
-        if counts["n_rows"] == 0:
+        touched = self._check(HOURLY, batch)
+        if not touched:
             return 0
-        commit = self._next_commit()
-        hourly = self._merge(HOURLY, commit, batch, lambda old, new: upsert.upsert_hourly(old, new, self.series))
-        loaded = hourly.filter(F.col("updated_run_id") == run_id).count()
-        if loaded != counts["n_keys"]:
-            raise RuntimeError(f"expected {counts['n_keys']} rows from run {run_id}, found {loaded}; nothing published")
+        live = self.live()
+        commit = max(live.values(), default=0) + 1
+        hourly = self._merge(
+            HOURLY,
+            commit,
+            self._read(HOURLY, live, touched),
+            batch,
+            lambda old, new: upsert.upsert_hourly(old, new, self.series),
+        )
+        loaded, expected = hourly.filter(F.col("updated_run_id") == run_id).count(), sum(touched.values())
+        if loaded != expected:
+            raise RuntimeError(f"expected {expected} rows from run {run_id}, found {loaded}; nothing published")
         # The rewritten partitions are whole days, so they are all a refresh needs.
-        days = refresh.daily_rows(hourly, as_of, self.series)
-        rest = [c for c in DAILY.layout.names if c != "grid_date"]
-        daily = self._merge(DAILY, commit, days, lambda old, new: upsert.upsert(old, new, self.keys(DAILY), rest))
-        self._publish(commit, {HOURLY.name: hourly, DAILY.name: daily})
+        months = {DAILY.part_of(day) for day in touched}
+        rest = [c for c in DAILY.layout.names if c != DAILY.key]
+        self._merge(
+            DAILY,
+            commit,
+            self._read(DAILY, live, months),
+            refresh.daily_rows(hourly, as_of, self.series),
+            lambda old, new: upsert.upsert(old, new, self.keys(DAILY), rest),
+        )
+        self._publish(commit, {HOURLY.name: set(touched), DAILY.name: months})
         return loaded
 
     def load_silver(self, table: Table, clean: DataFrame, as_of=None) -> int:
         """Upsert one cleaned feed into its silver table and publish it.
         Returns the number of rows in the batch."""
         batch = upsert.silver_batch(clean, table.layout, as_of, self.series)
-        counts = upsert.check_constraints(batch, self.keys(table), required=[schemas.LOCAL_HOUR])
-        if counts["n_rows"] == 0:
+        touched = self._check(table, batch, required=[schemas.LOCAL_HOUR])
+        if not touched:
             return 0
-        commit = self._next_commit()
-        merged = self._merge(
-            table, commit, batch, lambda old, new: upsert.upsert_silver(old, new, table.layout, self.series)
+        live = self.live()
+        commit = max(live.values(), default=0) + 1
+        self._merge(
+            table,
+            commit,
+            self._read(table, live, touched),
+            batch,
+            lambda old, new: upsert.upsert_silver(old, new, table.layout, self.series),
         )
-        self._publish(commit, {table.name: merged})
-        return counts["n_rows"]
+        self._publish(commit, {table.name: set(touched)})
+        return sum(touched.values())
