@@ -1,6 +1,6 @@
 """The batch jobs: raw reports to clean datasets, clean datasets to tables.
 
-    python -m gridtide.plans.jobs build-grid   --data DIR
+    python -m gridtide.plans.jobs build-grid   --data DIR [--first DATE] [--last DATE]
     python -m gridtide.plans.jobs load-grid    --data DIR --store DIR
     python -m gridtide.plans.jobs build-silver --data DIR
     python -m gridtide.plans.jobs load-silver  --data DIR --store DIR
@@ -12,6 +12,7 @@ that lives elsewhere, and each can be repeated without changing its outcome.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import logging
 import uuid
 
@@ -27,12 +28,13 @@ from gridtide.sources.datasets import read_dataset, write_dataset
 log = logging.getLogger(__name__)
 
 
-def build_grid(spark: SparkSession, data: str) -> int:
-    """All landed price and load files to one joined hourly dataset. Fails on
-    any local hour that a feed reports twice."""
+def build_grid(spark: SparkSession, data: str, first: dt.date | None = None, last: dt.date | None = None) -> int:
+    """Landed price and load files to one joined hourly dataset: all of them,
+    or those of the dates first..last. Fails on any local hour that a feed
+    reports twice."""
     price, load = (
         feed.by_local_hour(
-            reports.read_enveloped(spark, f"{data}/raw/{feed.landing_prefix}_*.json", feed.report, feed.record)
+            reports.read_landing(spark, f"{data}/raw", feed.landing_prefix, feed.report, feed.record, first, last)
         )
         for feed in (PRICE, LOAD)
     )
@@ -82,13 +84,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--data", required=True)
     parser.add_argument("--store")
     parser.add_argument("--run-id")
+    parser.add_argument("--first", type=dt.date.fromisoformat, help="first landing date to build from")
+    parser.add_argument("--last", type=dt.date.fromisoformat, help="last landing date to build from")
     args = parser.parse_args(argv)
     if args.job.startswith("load") and not args.store:
         parser.error("--store is needed to load")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     spark = build_session(f"gridtide-{args.job}")
     if args.job == "build-grid":
-        build_grid(spark, args.data)
+        build_grid(spark, args.data, args.first, args.last)
     elif args.job == "load-grid":
         load_grid(spark, args.data, args.store, args.run_id)
     elif args.job == "build-silver":

@@ -88,12 +88,17 @@ class MarketStore:
         return {(r.table, r.part): r.commit for r in newest.collect()}
 
     def read(self, table: Table, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
-        """The live rows, of all partitions or those with days in first..last.
-        Only the folders of those partitions are listed and read."""
+        """The live rows, or those of the days first..last. Only the folders of
+        the partitions concerned are listed and read."""
         low = dt.date.min if first is None else table.part_of(first)
         high = dt.date.max if last is None else last
         live = self.live()
-        return self._read(table, live, [part for name, part in live if name == table.name and low <= part <= high])
+        df = self._read(table, live, [part for name, part in live if name == table.name and low <= part <= high])
+        if table.monthly and first is not None:
+            df = df.filter(F.col(table.key) >= F.lit(first))
+        if table.monthly and last is not None:
+            df = df.filter(F.col(table.key) <= F.lit(last))
+        return df
 
     def _folder(self, table: Table, commit: int) -> str:
         return f"{self.root}/{table.name}/commit={commit}"

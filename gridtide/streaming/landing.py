@@ -38,8 +38,12 @@ def follow(spark: SparkSession, folder: str, feed: Feed, store: str, checkpoint:
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        cleaned = feed.by_utc_hour(batch, prefer=[reports.LANDED_ON])
-        tables.MarketStore(batch.sparkSession, store).load_silver(feed.table, cleaned)
+        # Checked first and merged after, so keep it rather than parse twice.
+        cleaned = feed.by_utc_hour(batch, prefer=[reports.LANDED_ON]).persist()
+        try:
+            tables.MarketStore(batch.sparkSession, store).load_silver(feed.table, cleaned)
+        finally:
+            cleaned.unpersist()
 
     return (
         landed_reports(spark, folder, feed, **kwargs)

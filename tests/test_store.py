@@ -1,0 +1,229 @@
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+from conftest import (
+    LOADS,
+    PRICES,
+    envelope,
+    load_record,
+    price_record,
+    raw_prices,
+    rows_of,
+    write_json,
+)
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from test_upsert import A, B, T0, T1, grid, same
+
+from gridtide import schemas
+from gridtide.operators import clean, refresh, upsert
+from gridtide.plans import jobs
+from gridtide.plans.feeds import LOAD, PRICE
+from gridtide.sources import tables
+from gridtide.sources.datasets import read_dataset, write_dataset
+from gridtide.streaming import landing
+
+D = Decimal
+MONTH = [(f"2026-07-{d:02d} {h:02d}:00", d + h / 4, 100 * d + h) for d in range(25, 32) for h in range(24)]
+LATER = [(f"2026-{m} {h:02d}:00", h * 3.0 if h % 5 else None, h) for m in ("07-30", "07-31", "08-01") for h in range(24)]
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return tables.MarketStore(spark, str(tmp_path / "store"))
+
+
+def test_new_store_is_empty(store):
+    for table in (tables.HOURLY, tables.DAILY, tables.SILVER_PRICE, tables.SILVER_LOAD):
+        assert store.read(table).schema == table.layout and store.read(table).isEmpty()
+
+
+def test_loads_match_the_pure_operators(spark, store):
+    assert store.load_hourly(grid(spark, MONTH), "r1", T0) == 7 * 24
+    assert store.load_hourly(grid(spark, LATER), "r2", T1) == 3 * 24
+    base = upsert.hourly_batch(grid(spark, MONTH), "r1", T0)
+    later = upsert.hourly_batch(grid(spark, LATER), "r2", T1)
+    merged = upsert.upsert_hourly(base, later)
+    assert same(store.read(tables.HOURLY), merged)
+    assert same(store.read(tables.DAILY), refresh.refresh(refresh.daily_rows(base, T0), merged, later, T1))
+
+
+def test_repeating_a_load_changes_nothing(spark, store):
+    store.load_hourly(grid(spark, MONTH), "r1", T0)
+    before = store.read(tables.HOURLY).collect()
+    assert store.load_hourly(grid(spark, MONTH), "r1", T0) == len(before)
+    assert sorted(store.read(tables.HOURLY).collect()) == sorted(before)
+
+
+def test_untouched_partitions_are_not_rewritten(spark, store):
+    store.load_hourly(grid(spark, MONTH), "r1", T0)
+    store.load_hourly(grid(spark, LATER), "r2", T1)
+    assert sorted(p for p in os.listdir(f"{store.root}/raw_hourly_grid/commit=2") if p.startswith("part=")) == [
+        "part=2026-07-30",
+        "part=2026-07-31",
+        "part=2026-08-01",
+    ]
+
+
+def test_reading_a_range_lists_only_its_partitions(spark, store):
+    store.load_hourly(grid(spark, MONTH), "r1", T0)
+    some = store.read(tables.HOURLY, dt.date(2026, 7, 27), dt.date(2026, 7, 28))
+    assert some.count() == 48
+    assert {os.path.basename(os.path.dirname(f)) for f in some.inputFiles()} == {"part=2026-07-27", "part=2026-07-28"}
+    assert store.read(tables.DAILY, dt.date(2026, 7, 27), dt.date(2026, 7, 28)).count() == 2
+    assert store.read(tables.DAILY, last=dt.date(2026, 6, 30)).isEmpty()
+
+
+@pytest.mark.parametrize("bad", [A + A[:1], A + [(None, 1.0, 1)]])
+def test_a_bad_batch_leaves_both_tables_alone(spark, store, bad):
+    store.load_hourly(grid(spark, A), "r1", T0)
+    before = store.live()
+    with pytest.raises(ValueError, match="violates the key"):
+        store.load_hourly(grid(spark, bad), "r2", T1)
+    assert store.live() == before and store.read(tables.HOURLY).count() == 2
+
+
+def test_a_failure_after_writing_publishes_nothing(spark, store, monkeypatch):
+    store.load_hourly(grid(spark, A), "r1", T0)
+    hourly, daily = store.read(tables.HOURLY).collect(), store.read(tables.DAILY).collect()
+
+    def lost(*_args, **_kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "daily_rows", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            store.load_hourly(grid(spark, B), "r2", T1)
+    assert store.read(tables.HOURLY).collect() == hourly and store.read(tables.DAILY).collect() == daily
+    # The leftovers of the failed load do not get in the way of the next.
+    assert store.load_hourly(grid(spark, B), "r2", T1) == 2
+    assert store.read(tables.HOURLY).count() == 3
+
+
+def test_verification_mismatch_publishes_nothing(spark, store, monkeypatch):
+    keep_old = lambda current, batch, series=(): upsert.coerce(batch.withColumn("updated_run_id", F.lit("x")), schemas.HOURLY_GRID)
+    monkeypatch.setattr(upsert, "upsert_hourly", keep_old)
+    with pytest.raises(RuntimeError, match="expected 2 rows from run r1, found 0"):
+        store.load_hourly(grid(spark, A), "r1", T0)
+    assert store.live() == {}
+
+
+def test_empty_batches_are_no_ops(spark, store):
+    assert store.load_hourly(grid(spark, A).limit(0), "r1", T0) == 0
+    assert store.load_silver(tables.SILVER_PRICE, clean.price_by_utc_hour(raw_prices(spark, []))) == 0
+    assert store.live() == {}
+
+
+def test_silver_needs_a_local_hour(spark, store):
+    raw = raw_prices(spark, [price_record("", "1", utc="2026-08-01 00:00")])
+    with pytest.raises(ValueError, match="null_required_rows"):
+        store.load_silver(tables.SILVER_PRICE, clean.price_by_utc_hour(raw))
+
+
+def test_silver_overflow_fails(spark, store):
+    raw = raw_prices(spark, [price_record("2026-08-01 00:00", "123456789.00")])
+    with pytest.raises(Exception, match="out of range for decimal"):
+        store.load_silver(tables.SILVER_PRICE, clean.price_by_utc_hour(raw))
+    assert store.live() == {}
+
+
+def test_store_of_several_markets(spark, tmp_path):
+    store = tables.MarketStore(spark, str(tmp_path), [T.StructField("market", T.StringType())])
+    both = grid(spark, MONTH).withColumn("market", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    assert store.load_hourly(both, "r1", T0) == 2 * 7 * 24
+    only_b = grid(spark, LATER).withColumn("market", F.lit("b"))
+    assert store.load_hourly(only_b, "r2", T1) == 3 * 24
+    days = {(r.market, r.grid_date): r.computed_at for r in store.read(tables.DAILY).collect()}
+    assert len(days) == 15 and days["b", dt.date(2026, 7, 30)] == T1
+    # The other market's rows of a touched day are carried over as they are.
+    assert store.read(tables.HOURLY).filter("market = 'a' AND updated_run_id <> 'r1'").isEmpty()
+
+
+def test_datasets(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "date_add(DATE'2026-08-01', CAST(id % 4 AS INT)) AS grid_date")
+    assert write_dataset(df, f"{tmp_path}/d", "grid_date") == 100
+    assert write_dataset(df.limit(7), f"{tmp_path}/d") == 7
+    assert read_dataset(spark, f"{tmp_path}/d").count() == 7
+    assert read_dataset(spark, f"{tmp_path}/absent") is None
+
+
+def land(tmp_path, day, prices, loads):
+    write_json(tmp_path / "raw" / f"raw_pool_prices_{day}.json", envelope(schemas.PRICE_REPORT, prices))
+    write_json(tmp_path / "raw" / f"raw_ail_{day}.json", envelope(schemas.LOAD_REPORT, loads))
+
+
+def test_grid_jobs(spark, tmp_path):
+    data, root = str(tmp_path), str(tmp_path / "store")
+    land(tmp_path, "2026-08-01", PRICES, LOADS[:1])
+    land(tmp_path, "2026-08-02", [price_record("2026-08-02 00:00", "5")], [])
+    assert jobs.build_grid(spark, data) == 3
+    assert jobs.load_grid(spark, data, root, "r1", T0) == 3
+    store = tables.MarketStore(spark, root)
+    assert rows_of(store.read(tables.DAILY).select("grid_date", "max_price", "avg_load", "hours_reported"), "grid_date") == [
+        (dt.date(2026, 8, 1), D("21.63"), D("10089"), 2),
+        (dt.date(2026, 8, 2), D("5"), None, 1),
+    ]
+    # A corrected file for one date; only that date is read again.
+    land(tmp_path, "2026-08-02", [price_record("2026-08-02 00:00", "")], [load_record("2026-08-02 00:00", "9")])
+    assert jobs.build_grid(spark, data, first=dt.date(2026, 8, 2)) == 1
+    jobs.load_grid(spark, data, root, "r2", T1)
+    (row,) = store.read(tables.HOURLY, dt.date(2026, 8, 2)).collect()
+    assert (row.pool_price, row.alberta_internal_load, row.created_run_id, row.updated_run_id) == (None, 9, "r1", "r2")
+
+
+def test_grid_job_refuses_a_repeated_hour(spark, tmp_path):
+    land(tmp_path, "2026-08-01", PRICES, LOADS)
+    land(tmp_path, "2026-08-02", PRICES[:1], [])
+    with pytest.raises(Exception, match="duplicate timestamps found"):
+        jobs.build_grid(spark, str(tmp_path))
+
+
+def test_silver_jobs(spark, tmp_path):
+    data, root = str(tmp_path), str(tmp_path / "store")
+    write_json(tmp_path / "raw" / schemas.PRICE_WINDOW_FILE, PRICES)
+    assert jobs.build_silver(spark, data) == {schemas.PRICE_DATASET: 2}
+    assert jobs.load_silver(spark, data, root, T0) == {"silver_pool_price": 2}
+    # An empty report later on leaves the clean dataset alone.
+    write_json(tmp_path / "raw" / schemas.PRICE_WINDOW_FILE, {"return": {}})
+    write_json(tmp_path / "raw" / schemas.LOAD_WINDOW_FILE, {schemas.LOAD_REPORT: LOADS})
+    assert jobs.build_silver(spark, data) == {schemas.LOAD_DATASET: 2}
+    assert jobs.load_silver(spark, data, root, T1) == {"silver_pool_price": 2, "silver_actual_forecast_load": 2}
+    store = tables.MarketStore(spark, root)
+    assert {(r.created_at, r.updated_at) for r in store.read(tables.SILVER_PRICE).collect()} == {(T0, T1)}
+    assert dict(store.read(tables.SILVER_LOAD).dtypes)["alberta_internal_load"] == "decimal(10,2)"
+
+
+def test_command_line(spark, tmp_path):
+    land(tmp_path, "2026-08-01", PRICES, LOADS)
+    jobs.main(["build-grid", "--data", str(tmp_path)])
+    jobs.main(["load-grid", "--data", str(tmp_path), "--store", str(tmp_path / "s"), "--run-id", "r1"])
+    assert tables.MarketStore(spark, str(tmp_path / "s")).read(tables.HOURLY).count() == 2
+    with pytest.raises(SystemExit):
+        jobs.main(["load-grid", "--data", str(tmp_path)])
+
+
+def test_following_the_landing_zone(spark, tmp_path):
+    raw, root, checkpoint = (str(tmp_path / n) for n in ("raw", "store", "checkpoint"))
+    land(tmp_path, "2026-08-01", PRICES, LOADS)
+    land(tmp_path, "2026-08-02", [price_record("2026-08-01 00:00", "99", utc="2026-08-01 06:00")], [])
+
+    def run(feed):
+        query = landing.follow(spark, raw, feed, root, checkpoint + feed.dataset)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    run(PRICE)
+    run(LOAD)
+    store = tables.MarketStore(spark, root)
+    prices = rows_of(store.read(tables.SILVER_PRICE).select(schemas.UTC_HOUR, "pool_price"), schemas.UTC_HOUR)
+    assert prices == [(dt.datetime(2026, 8, 1, 6), D("99.00")), (dt.datetime(2026, 8, 1, 7), D("18.87"))]
+    assert store.read(tables.SILVER_LOAD).count() == 2
+    # Only files that are new are read the next time.
+    before = max(store.live().values())
+    run(PRICE)
+    assert max(store.live().values()) == before
+    land(tmp_path, "2026-08-03", [price_record("2026-08-03 00:00", "1")], [])
+    run(PRICE)
+    assert store.read(tables.SILVER_PRICE).count() == 3
