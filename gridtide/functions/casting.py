@@ -6,6 +6,8 @@ and never depend on the session's ANSI switch or time zone.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,7 +66,17 @@ def to_money(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     return F.when(c.isNotNull() & coerced.isNull(), F.raise_error(message)).otherwise(coerced)
 
 
-def run_at(moment=None) -> Column:
+def wall_time(moment: dt.datetime) -> Column:
+    """A zone-less timestamp literal; a moment with a zone is moved to UTC.
+
+    Spelled as text, because a datetime literal is an instant and would shift
+    with the session's zone.
+    """
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def run_at(moment: dt.datetime | None = None) -> Column:
     """The audit timestamp: the moment given, else the query's own start."""
-    source = F.current_timestamp() if moment is None else F.lit(moment)
-    return source.cast("timestamp_ntz")
+    return F.localtimestamp() if moment is None else wall_time(moment)

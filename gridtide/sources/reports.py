@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide import schemas
+from gridtide.functions.casting import wall_time
 from gridtide.sources.datasets import path_exists
 
 LANDED_ON = "landing_date"
@@ -127,7 +128,7 @@ def in_window(ts: Column, first: dt.date, last: dt.date) -> Column:
     that the scan can skip row groups (a date() around it would hide it)."""
     start = dt.datetime.combine(first, dt.time())
     stop = dt.datetime.combine(last + dt.timedelta(days=1), dt.time())
-    return (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(stop).cast("timestamp_ntz"))
+    return (ts >= wall_time(start)) & (ts < wall_time(stop))
 
 
 def read_landing(

@@ -76,3 +76,16 @@ def test_money_text_round_trip(spark, amounts):
     texts = [str(a) for a in amounts]
     got = evaluate(spark, texts, "string", casting.to_money(F.lit(0) + casting.to_double("c")))
     assert got == amounts
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Edmonton"])
+def test_literals_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        moment = dt.datetime(2026, 3, 8, 2, 30, 0, 5)
+        aware = dt.datetime(2026, 3, 8, 2, 30, tzinfo=dt.timezone(dt.timedelta(hours=-7)))
+        row = spark.range(1).select(casting.run_at(moment), casting.run_at(aware), casting.run_at()).first()
+        assert tuple(row)[:2] == (moment, dt.datetime(2026, 3, 8, 9, 30)) and row[2] is not None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

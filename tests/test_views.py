@@ -67,11 +67,12 @@ def test_last_days_in_sql(spark, market):
     same(
         spark,
         views.last_days_profit(days),
-        """WITH newest AS (SELECT grid_date, net_daily_profit FROM v_daily_battery_arbitrage ORDER BY grid_date DESC LIMIT 10)
-           SELECT grid_date, net_daily_profit,
-                  (SELECT sum(net_daily_profit) FROM newest) AS total_10_day_profit,
-                  (SELECT sum(o.net_daily_profit) FROM newest o WHERE o.grid_date <= newest.grid_date) AS rolling_10d_sum
-           FROM newest ORDER BY grid_date DESC""",
+        """SELECT grid_date, net_daily_profit,
+                  sum(net_daily_profit) OVER () AS total_10_day_profit,
+                  sum(net_daily_profit) OVER (ORDER BY grid_date) AS rolling_10d_sum
+           FROM v_daily_battery_arbitrage
+           WHERE grid_date > (SELECT date_sub(max(grid_date), 10) FROM v_daily_battery_arbitrage)
+           ORDER BY grid_date DESC""",
     )
 
 
