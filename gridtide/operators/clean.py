@@ -60,10 +60,9 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), tot
     ``prefer`` columns first and on the others after them.
 
     This is an aggregate, combined before the shuffle: a key repeated in a
-    third of all rows sends one row per task, where a row_number() over the key
-    would sort them all in one task. ``total`` promises that the one ``prefer``
-    column is never null and tells the rows of a key apart; then no row has to
-    be compared as a whole, and the aggregate needs no sort.
+    third of all rows sends one row per task. ``total`` promises that the one
+    ``prefer`` column is never null and tells the rows of a key apart; then no
+    row has to be compared as a whole, and the aggregate needs no sort.
     """
     keys, prefer = list(keys), list(prefer)
     rest = [c for c in df.columns if c not in keys]

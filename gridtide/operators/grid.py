@@ -26,7 +26,7 @@ def merge_feeds(price: DataFrame, load: DataFrame, keys: Sequence[str] = (schema
     aggregate over both feeds stacked: one read of each feed, one shuffle, no
     sort, and rows of a repeated (or null) key are combined before the shuffle,
     however many there are. The check sits in a filter of the same plan, so it
-    cannot be optimised away and costs no second job.
+    cannot be optimised away and costs no second job over the raw documents.
 
     A null key matches nothing, but two rows with a null key are duplicates.
     """
@@ -39,16 +39,15 @@ def merge_feeds(price: DataFrame, load: DataFrame, keys: Sequence[str] = (schema
     if shared:
         raise ValueError(f"both feeds carry {sorted(shared)}; drop or rename one side's")
 
-    def side(df: DataFrame, in_price: int) -> DataFrame:
-        return df.withColumns({"_price": F.lit(in_price), "_load": F.lit(1 - in_price)})
-
-    stacked = side(price, 1).unionByName(side(load, 0), allowMissingColumns=True)
+    stacked = price.withColumn("_price", F.lit(True)).unionByName(
+        load.withColumn("_load", F.lit(True)), allowMissingColumns=True
+    )
     if how == "inner":
         stacked = stacked.dropna(subset=keys)
     merged = stacked.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in price_cols + load_cols],
-        F.sum("_price").alias("_price"),
-        F.sum("_load").alias("_load"),
+        F.count("_price").alias("_price"),
+        F.count("_load").alias("_load"),
     )
     has_price, has_load = F.col("_price") > 0, F.col("_load") > 0
     wanted = {

@@ -132,7 +132,7 @@ def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as price observations; the customer key stands in for load."""
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderdate").alias(schemas.LOCAL_HOUR),
-        F.col("o_totalprice").cast(schemas.PRICE_TYPE).alias("pool_price"),
+        F.col("o_totalprice").alias("pool_price"),
         F.col("o_custkey").alias("alberta_internal_load"),
         F.col("o_orderpriority").alias("market"),
     )
@@ -143,8 +143,8 @@ def shipment_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     for load."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").alias(schemas.LOCAL_HOUR),
-        F.col("l_extendedprice").cast(schemas.PRICE_TYPE).alias("pool_price"),
-        F.col("l_quantity").alias("alberta_internal_load"),
+        F.col("l_extendedprice").alias("pool_price"),
+        F.col("l_quantity").cast("bigint").alias("alberta_internal_load"),
         F.col("l_returnflag").alias("market"),
     )
 

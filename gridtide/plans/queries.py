@@ -80,8 +80,13 @@ def _daily(spark, sf) -> DataFrame:
     return daily.daily_aggregate(dtab.grid_feed(spark, sf), computed_at=dtab.BASE_TIME)
 
 
+def _daily_cents(prices: DataFrame, series=()) -> DataFrame:
+    """Daily figures of prices known to be in whole cents."""
+    return daily.daily_aggregate(prices, series=series, computed_at=dtab.BASE_TIME, exact=schemas.MONEY_TYPE)
+
+
 def _daily_orders(spark, sf, series=()) -> DataFrame:
-    return daily.daily_aggregate(dtab.order_prices(spark, sf), series=series, computed_at=dtab.BASE_TIME)
+    return _daily_cents(dtab.order_prices(spark, sf), series)
 
 
 @query
@@ -96,7 +101,7 @@ def daily_grid_agg_orders(spark, sf):
 
 @query
 def daily_grid_agg_by_market(spark, sf):
-    return daily.daily_aggregate(dtab.shipment_prices(spark, sf), series=MARKET, computed_at=dtab.BASE_TIME)
+    return _daily_cents(dtab.shipment_prices(spark, sf), MARKET)
 
 
 @query
