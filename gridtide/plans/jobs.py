@@ -86,11 +86,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--run-id")
     parser.add_argument("--first", type=dt.date.fromisoformat, help="first landing date to build from")
     parser.add_argument("--last", type=dt.date.fromisoformat, help="last landing date to build from")
+    parser.add_argument("--shuffle-gb", type=int, help="size of the feeds, to size the shuffles by")
     args = parser.parse_args(argv)
     if args.job.startswith("load") and not args.store:
         parser.error("--store is needed to load")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
-    spark = build_session(f"gridtide-{args.job}")
+    spark = build_session(f"gridtide-{args.job}", shuffle_bytes=args.shuffle_gb and args.shuffle_gb << 30)
     if args.job == "build-grid":
         build_grid(spark, args.data, args.first, args.last)
     elif args.job == "load-grid":

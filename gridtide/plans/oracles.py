@@ -283,7 +283,7 @@ FROM events WHERE event_type <> 'error'
 QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY event_id DESC) = 1""",
     "duplicate_hours": """SELECT event_type, date_trunc('hour', ts) AS begin_datetime_mpt, count(*) AS n_rows
 FROM events GROUP BY 1, 2 HAVING count(*) > 1""",
-    "numeric_coercion": f"""SELECT l_orderkey, l_linenumber,
+    "numeric_coercion": f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   {_money(_half_up(f"({_cents('l_extendedprice')} * {_cents('l_discount')})", "100"))} AS discount_amount FROM lineitem""",
     "landing_date_scope": """SELECT CAST(ts AS DATE) AS landing_date, count(*) AS n_records FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-20' AND DATE '2024-01-30' GROUP BY 1""",

@@ -120,7 +120,8 @@ class MarketStore:
     def _merge(self, table: Table, commit: int, current: DataFrame, batch: DataFrame, merge) -> DataFrame:
         """Write current rows with the batch merged in; return what was written."""
         folder = self._folder(table, commit)
-        write_dataset(merge(current, batch).withColumn(PART.name, table.part()), folder, partition_by=PART.name)
+        merged = merge(current, batch).withColumn(PART.name, table.part())
+        write_dataset(merged, folder, partition_by=PART.name, sort_by=self.keys(table))
         return self.spark.read.schema(T.StructType([*self.layout(table).fields, PART])).parquet(folder)
 
     def _publish(self, commit: int, parts: dict[str, set[dt.date]]) -> None:

@@ -21,6 +21,7 @@ from gridtide import schemas
 from gridtide.operators import clean, refresh, upsert
 from gridtide.plans import jobs
 from gridtide.plans.feeds import LOAD, PRICE
+from gridtide.session import shared_folder, shuffle_partitions
 from gridtide.sources import tables
 from gridtide.sources.datasets import read_dataset, write_dataset
 from gridtide.streaming import landing
@@ -149,6 +150,23 @@ def test_datasets(spark, tmp_path):
     assert read_dataset(spark, f"{tmp_path}/absent") is None
 
 
+def test_small_partitions_are_one_sorted_file_each_and_large_ones_are_split(spark, tmp_path):
+    rows = spark.range(0, 40000, numPartitions=8).selectExpr(
+        "hash(id) AS k", "if(id < 39000, DATE'2026-08-01', date_add(DATE'2026-08-02', CAST(id % 3 AS INT))) AS part"
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        write_dataset(rows, f"{tmp_path}/d", "part", ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+    files = {d.name: sorted(d.glob("*.parquet")) for d in (tmp_path / "d").glob("part=*")}
+    assert len(files["part=2026-08-01"]) > 1
+    assert [len(f) for d, f in sorted(files.items()) if d != "part=2026-08-01"] == [1, 1, 1]
+    for file in files["part=2026-08-01"]:
+        keys = [r.k for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
+
+
 def land(tmp_path, day, prices, loads):
     write_json(tmp_path / "raw" / f"raw_pool_prices_{day}.json", envelope(schemas.PRICE_REPORT, prices))
     write_json(tmp_path / "raw" / f"raw_ail_{day}.json", envelope(schemas.LOAD_REPORT, loads))
@@ -227,3 +245,12 @@ def test_following_the_landing_zone(spark, tmp_path):
     land(tmp_path, "2026-08-03", [price_record("2026-08-03 00:00", "1")], [])
     run(PRICE)
     assert store.read(tables.SILVER_PRICE).count() == 3
+
+
+def test_shuffles_are_sized_by_the_data():
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(100 * 2**40) == 400 * 1024
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark, "x") == spark.conf.get("spark.checkpoint.dir") + "/x"
