@@ -89,13 +89,14 @@ def load_feed(
 
 def grid_feed(spark: SparkSession, sf_dir: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """Both feeds joined, hour by hour, from one scan of the events: what a
-    full outer join of the two feeds gives."""
+    full outer join of the two feeds gives. Events without a time are in no
+    hour; saying so here lets plans that use the grid twice share its shuffle."""
     is_price, is_load = F.col("event_type") == "purchase", F.col("event_type") == "view"
     price = F.when(is_price, F.col("value"))
     views = F.count_if(is_load)
     return (
         _events(spark, sf_dir, first, last)
-        .filter(is_price | is_load)
+        .filter((is_price | is_load) & hour_of().isNotNull())
         .groupBy(hour_of().alias(schemas.LOCAL_HOUR))
         .agg(
             _money(F.max(price)).alias("pool_price"),

@@ -86,3 +86,9 @@ def test_join_of_aggregates_adds_no_shuffle(spark):
     plan = plan_of(QUERIES["hourly_grid_full_outer"](spark, SF))
     # Two for the feeds and one for counting distinct users; none for the join.
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_refresh_computes_the_stored_grid_once(spark):
+    df = QUERIES["incremental_daily_refresh"](spark, SF)
+    df.collect()
+    assert "ReusedExchange" in plan_of(df)
