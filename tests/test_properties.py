@@ -13,7 +13,7 @@ from gridtide.operators import clean, daily, grid, refresh, upsert
 
 START = dt.datetime(2026, 3, 7)
 T0, T1 = dt.datetime(2026, 5, 1), dt.datetime(2026, 5, 2)
-CHECKED = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+CHECKED = settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 hours = st.integers(0, 96)
 price = st.none() | st.integers(-99999, 150000).map(lambda cents: cents / 100)
