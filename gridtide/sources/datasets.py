@@ -23,13 +23,15 @@ def write_dataset(df: DataFrame, path: str, partition_by: str | None = None, sor
     up in one file each, and a large one is split over several tasks. Rows are
     sorted on ``sort_by`` within a file, so that a later scan can skip.
     """
+    if partition_by:
+        df = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
+    # Counted last: below the sort an empty input would drop out of the plan,
+    # and the count with it.
     seen = Observation()
-    counted = df.observe(seen, F.count("*").alias("n_rows"))
+    writer = df.observe(seen, F.count("*").alias("n_rows")).write.mode("overwrite")
     if partition_by:
-        placed = counted.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
-        placed.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
-        counted.write.mode("overwrite").parquet(path)
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
     return seen.get["n_rows"]
 
 

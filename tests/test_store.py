@@ -150,6 +150,20 @@ def test_datasets(spark, tmp_path):
     assert read_dataset(spark, f"{tmp_path}/absent") is None
 
 
+@pytest.mark.parametrize("partition_by", [None, "part"])
+@pytest.mark.parametrize("nothing", ["no rows", "false", "never", "grouped"])
+def test_writing_nothing(spark, tmp_path, nothing, partition_by):
+    none = spark.createDataFrame([], "id bigint, part date")
+    some = spark.range(10).selectExpr("id", "DATE'2026-08-01' AS part")
+    df = {
+        "no rows": none,
+        "false": some.filter("false"),
+        "never": some.filter("id > 100"),
+        "grouped": none.groupBy("part").agg(F.max("id").alias("id")),
+    }[nothing]
+    assert write_dataset(df, f"{tmp_path}/d", partition_by, ["id"] if partition_by else ()) == 0
+
+
 def test_small_partitions_are_one_sorted_file_each_and_large_ones_are_split(spark, tmp_path):
     rows = spark.range(0, 40000, numPartitions=8).selectExpr(
         "hash(id) AS k", "if(id < 39000, DATE'2026-08-01', date_add(DATE'2026-08-02', CAST(id % 3 AS INT))) AS part"
@@ -191,6 +205,12 @@ def test_grid_jobs(spark, tmp_path):
     assert (row.pool_price, row.alberta_internal_load, row.created_run_id, row.updated_run_id) == (None, 9, "r1", "r2")
 
 
+def test_grid_jobs_without_any_report(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    assert jobs.build_grid(spark, str(tmp_path)) == 0
+    assert jobs.load_grid(spark, str(tmp_path), str(tmp_path / "store")) == 0
+
+
 def test_grid_job_refuses_a_repeated_hour(spark, tmp_path):
     land(tmp_path, "2026-08-01", PRICES, LOADS)
     land(tmp_path, "2026-08-02", PRICES[:1], [])
