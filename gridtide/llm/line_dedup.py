@@ -4,9 +4,9 @@ Lines are exploded with their positions and known by a 128-bit hash of their
 key (stripped, A-Z in lower case). Documents per key are counted with partial
 aggregates on (key, document), so a line that stands in a third of all
 documents is combined before it meets in one task. Only the keys that are over
-the threshold go back to the lines, in a sort-merge join whose large
-partitions adaptive execution splits, and only positions come out of it: texts
-move once, to meet their document's dropped positions.
+the threshold go back to the lines, each to ``SALTS`` tasks that share its
+lines by document, and only positions come out of that join: texts move once,
+to meet their document's dropped positions.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from gridtide.llm.common import ID, ROW, SPACE, ascii_lower, identified
 
+SALTS = 32
+
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
@@ -33,10 +35,11 @@ def repeated_lines(rows: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
         lines.groupBy("h1", "h2")
         .agg(F.count_distinct(ID).alias("docs"), F.max(ID).alias("keeper"))
         .filter(F.col("docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     return (
-        lines.join(shared, ["h1", "h2"])
+        lines.withColumn("salt", F.pmod(F.hash(ID, ROW), F.lit(SALTS)))
+        .join(shared, ["h1", "h2", "salt"])
         .filter(~F.col(ID).eqNullSafe(F.col("keeper")))
         .groupBy(ID, ROW)
         .agg(F.collect_set("pos").alias("dropped"))
