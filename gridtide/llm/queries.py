@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import decontaminate, exact_dedup, line_dedup, preference, secrets
+from gridtide.llm import bpe, decontaminate, exact_dedup, html_text, line_dedup, ngram_join, preference, quality, secrets, substring_dedup
 from gridtide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,16 @@ def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_preferences(turns, pair, F.pmod("conv_id", F.lit(2)) == 0)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -28,6 +39,21 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -37,6 +63,17 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def held_out(doc_id: str = "doc_id"):
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from the labelled rows that are not held out."""
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select(
