@@ -58,9 +58,11 @@ def to_int(c: Column | str) -> Column:
 
 def to_money(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     """Coerce to a fixed-scale number: ties round away from zero and a value
-    that does not fit fails the job, as storing it in such a column would."""
+    that does not fit fails the job, as storing it in such a column would. A
+    number that is none (the text NaN parses as one) is NULL."""
     kind = f"decimal({precision},{scale})"
     c = as_column(c)
+    c = F.when(~F.isnan(c.try_cast("double")), c)
     coerced = c.try_cast(kind)
     message = F.concat(F.lit(f"value out of range for {kind}: "), c.cast("string"))
     return F.when(c.isNotNull() & coerced.isNull(), F.raise_error(message)).otherwise(coerced)
@@ -78,5 +80,5 @@ def wall_time(moment: dt.datetime) -> Column:
 
 
 def run_at(moment: dt.datetime | None = None) -> Column:
-    """The audit timestamp: the moment given, else the query's own start."""
-    return F.localtimestamp() if moment is None else wall_time(moment)
+    """The audit timestamp: the moment given, else now; in UTC either way."""
+    return wall_time(moment or dt.datetime.now(dt.timezone.utc))

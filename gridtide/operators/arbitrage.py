@@ -17,12 +17,22 @@ from pyspark.sql import functions as F
 
 from gridtide import schemas
 
-CAPACITY_TYPE = "decimal(10,2)"
-EFFICIENCY_TYPE = "decimal(5,4)"
+# The least places capacities and efficiencies are kept with.
+CAPACITY_PLACES, EFFICIENCY_PLACES = 2, 4
 
+Number = str | float | Decimal
 
-def _number(value: str | float | Decimal, kind: str) -> Column:
-    return F.lit(str(value)).cast(kind)
+
+def _exact_type(values: Sequence[Number], places: int) -> str:
+    """A decimal type that holds each of the values with all its digits."""
+    parts = [Decimal(str(v)).as_tuple() for v in values]
+    scale = max(places, *[-p.exponent for p in parts])
+    whole = max(len(p.digits) + p.exponent for p in parts)
+    return f"decimal({max(whole, 1) + scale},{scale})"
+
+
+def _number(value: Number, kind: str) -> Column:
+    return F.lit(format(Decimal(str(value)), "f")).cast(kind)
 
 
 def cash_flows(low: Column, high: Column, capacity: Column, efficiency: Column, loss_on: str) -> tuple[Column, Column, Column]:
@@ -51,8 +61,8 @@ def discharge_loss_view(
     cost, revenue, profit = cash_flows(
         F.col("min_price"),
         F.col("max_price"),
-        _number(capacity_mwh, CAPACITY_TYPE),
-        _number(efficiency, EFFICIENCY_TYPE),
+        _number(capacity_mwh, _exact_type([capacity_mwh], CAPACITY_PLACES)),
+        _number(efficiency, _exact_type([efficiency], EFFICIENCY_PLACES)),
         "discharge",
     )
     return daily.select(
@@ -91,7 +101,7 @@ def charge_loss_view(
 ) -> DataFrame:
     """Profit per day of the daily price range, loss on charge."""
     return _charge_loss(
-        ranges, _number(capacity_mwh, CAPACITY_TYPE), _number(efficiency, EFFICIENCY_TYPE), series
+        ranges, _number(capacity_mwh, _exact_type([capacity_mwh], CAPACITY_PLACES)), _number(efficiency, _exact_type([efficiency], EFFICIENCY_PLACES)), series
     )
 
 
@@ -99,9 +109,11 @@ def sweep(ranges: DataFrame, specs: Sequence[tuple[str | float, str | float]], s
     """The same for several (capacity, efficiency) pairs: one row per day and
     pair. The pairs ride along as an array literal, so there is no join and the
     daily input is read once."""
+    capacity_type = _exact_type([c for c, _ in specs], CAPACITY_PLACES)
+    efficiency_type = _exact_type([e for _, e in specs], EFFICIENCY_PLACES)
     pairs = F.array(
         *[
-            F.struct(_number(c, CAPACITY_TYPE).alias("capacity"), _number(e, EFFICIENCY_TYPE).alias("efficiency"))
+            F.struct(_number(c, capacity_type).alias("capacity"), _number(e, efficiency_type).alias("efficiency"))
             for c, e in specs
         ]
     )

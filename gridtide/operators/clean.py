@@ -7,9 +7,11 @@ drops rows without a key and keeps one row per key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide import schemas
 from gridtide.functions import casting
@@ -34,48 +36,62 @@ def load_by_local_hour(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def _by_utc_hour(
-    raw: DataFrame, metrics: list[str], keep: Sequence[str], prefer: Sequence[str], total: bool
+    raw: DataFrame, metrics: list[str], keep: Sequence[str], prefer: Sequence[str], with_preferred: bool
 ) -> DataFrame:
     hours = {schemas.UTC_HOUR: casting.parse_any, schemas.LOCAL_HOUR: casting.parse_any}
     extra = [c for c in prefer if c not in keep]
     typed = _typed(raw, hours, metrics, casting.to_double, [*keep, *extra])
     present = typed.filter(F.col(schemas.UTC_HOUR).isNotNull())
-    return keep_one(present, [*keep, schemas.UTC_HOUR], prefer, total).drop(*extra)
+    one = keep_one(present, [*keep, schemas.UTC_HOUR], prefer)
+    return one if with_preferred else one.drop(*extra)
 
 
 def price_by_utc_hour(
-    raw: DataFrame, keep: Sequence[str] = (), prefer: Sequence[str] = (), total: bool = False
+    raw: DataFrame, keep: Sequence[str] = (), prefer: Sequence[str] = (), with_preferred: bool = False
 ) -> DataFrame:
-    return _by_utc_hour(raw, schemas.PRICE_METRICS, keep, prefer, total)
+    return _by_utc_hour(raw, schemas.PRICE_METRICS, keep, prefer, with_preferred)
 
 
 def load_by_utc_hour(
-    raw: DataFrame, keep: Sequence[str] = (), prefer: Sequence[str] = (), total: bool = False
+    raw: DataFrame, keep: Sequence[str] = (), prefer: Sequence[str] = (), with_preferred: bool = False
 ) -> DataFrame:
-    return _by_utc_hour(raw, schemas.LOAD_METRICS, keep, prefer, total)
-
-
-def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), total: bool = False) -> DataFrame:
-    """One row per key, always the same one: the greatest, compared on the
-    ``prefer`` columns first and on the others after them.
-
-    This is an aggregate, combined before the shuffle: a key repeated in a
-    third of all rows sends one row per task. ``total`` promises that the one
-    ``prefer`` column is never null and tells the rows of a key apart; then no
-    row has to be compared as a whole, and the aggregate needs no sort.
+    return _by_utc_hour(raw, schemas.LOAD_METRICS, keep, prefer, with_preferred)
+
+
+def _rank(df: DataFrame, prefer: Sequence[str], rest: Sequence[str]) -> Column:
+    """One number that orders the rows of a key: the preferred column first,
+    rows without it last, and a hash of the whole row after it. It has a fixed
+    width, so that the aggregate on it can hash."""
+    row = F.xxhash64(*rest)
+    if not prefer:
+        return row
+    (first,) = prefer
+    kind, value = df.schema[first].dataType, F.col(first)
+    if isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif not isinstance(kind, T.IntegralType):
+        raise ValueError(f"the preferred column must hold dates or whole numbers, not {kind.simpleString()}")
+    wide = "decimal(38,0)"
+    lowest = F.lit(-(1 << 63)).cast("bigint")
+    first_part = F.coalesce(value.cast("bigint"), lowest).cast("decimal(19,0)") * F.lit(Decimal(10**18))
+    return (first_part.cast(wide) + F.pmod(row, F.lit(10**18)).cast(wide)).cast(wide)
+
+
+def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
+    """One row per key, always the same one: that with the greatest ``prefer``
+    column (at most one, of dates or whole numbers), and of several the one
+    whose hash is greatest.
+
+    This is a hash aggregate, combined before the shuffle: a key repeated in a
+    third of all rows sends one row per task, and no row is sorted. Only text
+    columns outside the keys would make Spark sort.
     """
     keys, prefer = list(keys), list(prefer)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    if total:
-        (newest,) = prefer
-        picked = [F.max_by(c, newest).alias(c) for c in rest if c != newest]
-        one = df.groupBy(*keys).agg(F.max(newest).alias(newest), *picked)
-    else:
-        compared = F.struct(*prefer, *[c for c in rest if c not in prefer])
-        row = df.groupBy(*keys).agg(F.max(compared).alias("row"))
-        one = row.select(*keys, *[F.col("row").getField(c).alias(c) for c in rest])
+    ranked = df.withColumn("_rank", _rank(df, prefer, rest))
+    one = ranked.groupBy(*keys).agg(*[F.max_by(c, "_rank").alias(c) for c in rest])
     return one.select(*df.columns)
 
 

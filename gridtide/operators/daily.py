@@ -20,15 +20,16 @@ GRID_DATE = "grid_date"
 
 
 def _mean(df: DataFrame, column: str, exact: T.DataType) -> Column:
-    """The mean to two places, from an exact sum. Whole numbers add up as
+    """The mean to two places, from an exact sum and rounded once: an average
+    of decimals would be rounded to a few places first. Whole numbers add up as
     bigint, which costs next to nothing; fractions have to be decimals."""
     kind, value = df.schema[column].dataType, F.col(column)
     if isinstance(kind, T.IntegralType):
-        total, n = (c.cast("decimal(20,0)") for c in (F.sum(value.cast("bigint")), F.count(value)))
-        mean = total / F.nullif(n, F.lit(0))
+        total = F.sum(value.cast("bigint")).cast("decimal(20,0)")
     else:
-        mean = F.avg(value if isinstance(kind, T.DecimalType) else value.cast(exact))
-    return F.round(mean, 2).cast("decimal(18,2)")
+        total = F.sum(value if isinstance(kind, T.DecimalType) else value.cast(exact))
+    n = F.nullif(F.count(value).cast("decimal(20,0)"), F.lit(0))
+    return F.round(total / n, 2).cast("decimal(18,2)")
 
 
 def daily_aggregate(

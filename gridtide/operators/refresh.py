@@ -24,17 +24,20 @@ def daily_rows(hourly: DataFrame, computed_at=None, series: Sequence[str] = ())
     return day.daily_aggregate(hourly, series=series, computed_at=computed_at)
 
 
-def affected_days(hourly: DataFrame, batch: DataFrame, computed_at=None, series: Sequence[str] = ()) -> DataFrame:
+def affected_days(
+    hourly: DataFrame, batch: DataFrame, computed_at=None, series: Sequence[str] = (), ts: str = schemas.LOCAL_HOUR
+) -> DataFrame:
     """Daily rows for the dates in the batch, from all stored hours of those
     dates (a batch may hold only part of a day).
 
-    The semi join stands on the aggregate, one row per day. If the dates are
-    few enough to broadcast Spark moves it down to the hours; if not, it stays
-    and no hours are shuffled by date. Over a date-partitioned table read only
-    the partitions concerned instead (``gridtide.sources.tables`` does so).
+    Hours of other dates are dropped before they are aggregated, by a semi join
+    on the date whose list is bounded by the calendar. Over a date-partitioned
+    table read only the partitions concerned (``gridtide.sources.tables`` does).
     """
-    days = daily_rows(hourly, computed_at, series)
-    return days.join(batch_dates(batch, series=series), [*series, day.GRID_DATE], "left_semi")
+    dated = hourly.withColumn("_date", F.to_date(ts))
+    dates = batch_dates(batch, ts, series).withColumnRenamed(day.GRID_DATE, "_date")
+    kept = dated.join(dates, [*series, "_date"], "left_semi").select(*hourly.columns)
+    return day.daily_aggregate(kept, ts=ts, series=series, computed_at=computed_at)
 
 
 def refresh(current: DataFrame, hourly: DataFrame, batch: DataFrame, computed_at=None, series: Sequence[str] = ()) -> DataFrame:

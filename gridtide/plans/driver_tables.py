@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from gridtide import schemas
 from gridtide.sources.reports import in_window
 
-# The days the incremental queries split the events into.
+# The day the look-back ends on, and where the incremental queries split
+# the events; the base has no first day and the batch no last one.
 AS_OF = dt.date(2024, 1, 30)
-FIRST_DAY = dt.date(2024, 1, 1)
 BASE_LAST_DAY = dt.date(2024, 1, 20)
 BATCH_FIRST_DAY = dt.date(2024, 1, 15)
 BASE_RUN, BATCH_RUN = "run-base", "run-correction"
@@ -43,9 +43,9 @@ def _money(c: Column) -> Column:
 
 def _events(spark: SparkSession, sf_dir: str, first: dt.date | None, last: dt.date | None) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    if first is not None or last is not None:
-        events = events.filter(in_window(F.col("ts"), first or FIRST_DAY, last or AS_OF))
-    return events
+    if first is None and last is None:
+        return events
+    return events.filter(in_window(F.col("ts"), first, last))
 
 
 def price_feed(

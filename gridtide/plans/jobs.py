@@ -1,6 +1,6 @@
 """The batch jobs: raw reports to clean datasets, clean datasets to tables.
 
-    python -m gridtide.plans.jobs build-grid   --data DIR [--first DATE] [--last DATE]
+    python -m gridtide.plans.jobs build-grid   --data DIR [--as-of DATE | --first DATE --last DATE | --all]
     python -m gridtide.plans.jobs load-grid    --data DIR --store DIR
     python -m gridtide.plans.jobs build-silver --data DIR
     python -m gridtide.plans.jobs load-silver  --data DIR --store DIR
@@ -23,7 +23,7 @@ from gridtide.operators import grid
 from gridtide.plans.feeds import LOAD, PRICE
 from gridtide.session import build_session
 from gridtide.sources import reports, tables
-from gridtide.sources.datasets import read_dataset, write_dataset
+from gridtide.sources.datasets import read_dataset, remove, replace, write_dataset
 
 log = logging.getLogger(__name__)
 
@@ -58,11 +58,17 @@ def build_silver(spark: SparkSession, data: str) -> dict[str, int]:
     done = {}
     for feed in (PRICE, LOAD):
         raw = reports.read_any_shape(spark, f"{data}/raw/{feed.window_file}", feed.report, feed.record)
-        if raw.isEmpty():
+        # Written beside the dataset first: an empty report must not replace it,
+        # and asking beforehand would read every document twice.
+        path = f"{data}/clean/{feed.dataset}"
+        rows = write_dataset(feed.by_utc_hour(raw), f"{path}.new")
+        if rows:
+            replace(spark, f"{path}.new", path)
+            done[feed.dataset] = rows
+            log.info("%s: %d rows", feed.dataset, rows)
+        else:
+            remove(spark, f"{path}.new")
             log.warning("no records for %s", feed.report)
-            continue
-        done[feed.dataset] = write_dataset(feed.by_utc_hour(raw), f"{data}/clean/{feed.dataset}")
-        log.info("%s: %d rows", feed.dataset, done[feed.dataset])
     return done
 
 
@@ -86,6 +92,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--run-id")
     parser.add_argument("--first", type=dt.date.fromisoformat, help="first landing date to build from")
     parser.add_argument("--last", type=dt.date.fromisoformat, help="last landing date to build from")
+    parser.add_argument("--as-of", type=dt.date.fromisoformat, help="target date: the look-back ends on it (today)")
+    parser.add_argument("--days-back", type=int, default=schemas.LOOKBACK_DAYS, help="length of the look-back")
+    parser.add_argument("--all", action="store_true", help="build from everything that has landed")
     parser.add_argument("--shuffle-gb", type=int, help="size of the feeds, to size the shuffles by")
     args = parser.parse_args(argv)
     if args.job.startswith("load") and not args.store:
@@ -93,7 +102,11 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     spark = build_session(f"gridtide-{args.job}", shuffle_bytes=args.shuffle_gb and args.shuffle_gb << 30)
     if args.job == "build-grid":
-        build_grid(spark, args.data, args.first, args.last)
+        first, last = args.first, args.last
+        if first is None and last is None and not args.all:
+            today = dt.datetime.now(dt.timezone.utc).date()
+            first, last = reports.window_bounds(args.as_of or today, args.days_back)
+        build_grid(spark, args.data, first, last)
     elif args.job == "load-grid":
         load_grid(spark, args.data, args.store, args.run_id)
     elif args.job == "build-silver":

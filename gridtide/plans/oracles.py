@@ -110,10 +110,10 @@ def _market_range(source: str, market: str, ts: str, value: str) -> str:
   FROM {source} GROUP BY 1, 2)"""
 
 
-# Capacity in hundredths of a MWh, efficiency in ten-thousandths.
+# Capacity in thousandths of a MWh, efficiency in hundred-thousandths.
 COST = _half_up("(mn * cap * 100)", "rte")
-REVENUE = _half_up("(mx * cap)", "100")
-NET = _half_up("(cap * (mx * rte - 10000 * mn))", "(100 * rte)")
+REVENUE = _half_up("(mx * cap)", "1000")
+NET = _half_up("(cap * (mx * rte - 100000 * mn))", "(1000 * rte)")
 
 
 def _charge(specs: str) -> str:
@@ -121,11 +121,11 @@ def _charge(specs: str) -> str:
   FROM ranges CROSS JOIN (VALUES {specs}) AS spec(cap, rte))"""
 
 
-ONE_BATTERY = _charge("(1000, 9000)")
-SWEEP = _charge("(1000, 9000), (500, 8500), (2500, 9250), (10000, 10000)")
+ONE_BATTERY = _charge("(10000, 90000)")
+SWEEP = _charge("(10000, 90000), (5000, 85000), (25000, 92500), (100000, 100000), (10125, 92555)")
 
 CHARGE = f"""SELECT d AS trade_date_mpt, mn / 100.0 AS min_charge_price, mx / 100.0 AS max_discharge_price,
-  cap / 100.0 AS battery_capacity_mwh, rte / 10000.0 AS round_trip_efficiency,
+  cap / 1000.0 AS battery_capacity_mwh, rte / 100000.0 AS round_trip_efficiency,
   {_money('cost')} AS daily_charge_cost_cad, {_money('rev')} AS daily_discharge_revenue_cad,
   {_money('net')} AS daily_net_profit_cad FROM cash"""
 
@@ -153,10 +153,26 @@ LATEST_MARKET = (
 # -- forecast errors -----------------------------------------------------
 
 ERRORS = f"""errors AS (SELECT h, h - INTERVAL 7 HOUR AS mpt, pool, fore, ail, fail FROM price JOIN load USING (h))"""
+TIED_ERRORS = """errors AS (
+  SELECT h, h - INTERVAL 7 HOUR - to_hours(CAST(hour(h - INTERVAL 7 HOUR) % 2 AS BIGINT)) AS mpt, pool, fore, ail, fail
+  FROM price JOIN load USING (h))"""
 ERROR_COLUMNS = f"""mpt AS begin_datetime_mpt, {_money('pool')} AS pool_price, {_money('fore')} AS forecast_pool_price,
   {{ail}} AS alberta_internal_load, {{fail}} AS forecast_alberta_internal_load,
   {_money('pool - fore')} AS price_forecast_error, ail - fail AS load_forecast_error""".format(ail="ail", fail="fail")
 
+# -- clock changes -------------------------------------------------------
+
+# Sundays of the rule in force: until 2006 the first in April and the last in
+# October, from 2007 on the second in March and the first in November.
+CLOCK_CHANGES = """lengths AS (
+  SELECT *, CAST(CASE
+    WHEN dayofweek(grid_date) <> 0 THEN 24
+    WHEN year(grid_date) < 2007 AND month(grid_date) = 4 AND day(grid_date) <= 7 THEN 23
+    WHEN year(grid_date) < 2007 AND month(grid_date) = 10 AND day(grid_date) >= 25 THEN 25
+    WHEN year(grid_date) >= 2007 AND month(grid_date) = 3 AND day(grid_date) BETWEEN 8 AND 14 THEN 23
+    WHEN year(grid_date) >= 2007 AND month(grid_date) = 11 AND day(grid_date) <= 7 THEN 25
+    ELSE 24 END AS BIGINT) AS n FROM daily)"""
+
 # -- incremental maintenance ---------------------------------------------
 
 BASE = "base AS (SELECT * FROM grid WHERE h < TIMESTAMP '2024-01-21')"
@@ -219,6 +235,8 @@ ORACLES: dict[str, str] = {
     "forecast_error": _with(PRICE, LOAD, ERRORS) + f"SELECT h AS begin_datetime_utc, {ERROR_COLUMNS} FROM errors",
     "latest_48_hours": _with(PRICE, LOAD, ERRORS)
     + f"SELECT {ERROR_COLUMNS} FROM errors ORDER BY mpt DESC LIMIT 48",
+    "latest_48_tied_hours": _with(PRICE, LOAD, TIED_ERRORS)
+    + f"SELECT {ERROR_COLUMNS} FROM errors ORDER BY mpt DESC, h DESC LIMIT 48",
     "demand_price_corr": _with(PRICE, LOAD, GRID)
     + "SELECT round(corr(pool / 100.0, ail), 6) AS demand_price_correlation FROM grid",
     "demand_price_corr_by_market": """SELECT l_returnflag AS market,
@@ -229,6 +247,9 @@ ORACLES: dict[str, str] = {
     "daily_completeness": _with(*FROM_EVENTS)
     + """SELECT grid_date, hours AS hours_reported, CAST(24 AS BIGINT) AS expected_hours,
   24 - hours AS missing_hours, hours >= 24 AS is_complete FROM daily""",
+    "daily_completeness_orders": _with(ORDERS_DAILY, CLOCK_CHANGES)
+    + """SELECT grid_date, hours AS hours_reported, n AS expected_hours, n - hours AS missing_hours, hours >= n AS is_complete
+FROM lengths""",
     "arb_loss_on_discharge": _with(*FROM_EVENTS) + DISCHARGE,
     "arb_loss_on_discharge_orders": _with(ORDERS_DAILY) + DISCHARGE,
     "arb_loss_on_charge": _with(PRICE, EVENTS_RANGE, ONE_BATTERY) + CHARGE,
@@ -261,8 +282,8 @@ ORACLES: dict[str, str] = {
   CAST(CAST(pool - fore AS DECIMAL(12, 0)) / 100 AS DECIMAL(10, 2))::VARCHAR AS rolling_30day_avg FROM price""",
     "envelope_shapes": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS begin_datetime_utc,
   CAST(NULL AS VARCHAR) AS begin_datetime_mpt, CAST(CAST(value AS DECIMAL(10, 2)) AS VARCHAR) AS pool_price
-FROM events, LATERAL (SELECT unnest(range(CASE WHEN event_id % 8 IN (0, 1, 2, 4) THEN 1
-  WHEN event_id % 8 = 7 THEN 2 ELSE 0 END)))""",
+FROM events, LATERAL (SELECT unnest(range(CASE WHEN event_id % 10 IN (0, 1, 2, 4) THEN 1
+  WHEN event_id % 10 = 7 THEN 2 ELSE 0 END)))""",
     "parse_timestamps": """SELECT event_id,
   CASE event_id % 9 WHEN 0 THEN date_trunc('minute', ts) WHEN 6 THEN TIMESTAMP '2026-03-08 02:30:00' END AS strict_ts,
   CASE event_id % 9 WHEN 0 THEN date_trunc('minute', ts) WHEN 1 THEN date_trunc('second', ts)

@@ -19,7 +19,7 @@ from gridtide.sources import reports, tables
 Query = Callable[[SparkSession, str], DataFrame]
 MARKET = ["market"]
 # The battery sizes and efficiencies the sweep compares.
-BATTERIES = [("10", "0.90"), ("5", "0.85"), ("25", "0.925"), ("100", "1.00")]
+BATTERIES = [("10", "0.90"), ("5", "0.85"), ("25", "0.925"), ("100", "1.00"), ("10.125", "0.92555")]
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -61,6 +61,15 @@ def latest_48_hours(spark, sf):
     return views.latest_hours(dtab.silver_price(spark, sf), dtab.silver_load(spark, sf))
 
 
+@query
+def latest_48_tied_hours(spark, sf):
+    """Two UTC hours share each local hour, as they do when clocks go back."""
+    local = F.col(schemas.LOCAL_HOUR)
+    tied = local - F.make_dt_interval(hours=F.hour(local) % 2)
+    price = dtab.silver_price(spark, sf).withColumn(schemas.LOCAL_HOUR, tied)
+    return views.latest_hours(price, dtab.silver_load(spark, sf))
+
+
 @query
 def demand_price_corr(spark, sf):
     corr = grid.demand_price_correlation(dtab.grid_feed(spark, sf))
@@ -109,6 +118,12 @@ def daily_completeness(spark, sf):
     return daily.completeness(_daily(spark, sf))
 
 
+@query
+def daily_completeness_orders(spark, sf):
+    """Over years of days, those of 23 and 25 hours among them."""
+    return daily.completeness(_daily_orders(spark, sf))
+
+
 # -- arbitrage views -----------------------------------------------------
 
 
@@ -252,6 +267,8 @@ def envelope_shapes(spark, sf):
         '{"x": 1, "other": [REC]}',
         '{"return": {"%s": []}}',
         '{"return": {"%s": [REC, REC]}}',
+        '{"return": [], "x": [REC]}',
+        '{"return": {"%s": null}, "%s": [REC]}',
     ]
     template = F.array(*[F.lit(s.replace("%s", report)) for s in shapes])
     doc = F.replace(F.get(template, F.col("event_id") % len(shapes)), F.lit("REC"), F.col("rec"))
@@ -325,7 +342,7 @@ def clean_and_dedup(spark, sf):
         F.when(kind == "click", F.lit(" ")).otherwise(value).alias("forecast_pool_price"),
         F.when(kind == "view", F.lit("n/a")).otherwise(value).alias("rolling_30day_avg"),
     )
-    return clean.price_by_utc_hour(raw, prefer=["event_id"], total=True)
+    return clean.price_by_utc_hour(raw, prefer=["event_id"])
 
 
 @query

@@ -8,11 +8,44 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _on_file_system(spark: SparkSession, path: str):
+    """The path, and the file system it is on, as Hadoop objects."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """What a glob stands for. The driver lists it: keep it to folders whose
+    number the calendar bounds."""
+    path, files = _on_file_system(spark, pattern)
+    return [str(status.getPath().toString()) for status in (files.globStatus(path) or [])]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, or anything a glob stands for, exists on its file system."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    if not any(c in path for c in "*?{["):
+        hadoop_path, files = _on_file_system(spark, path)
+        return files.exists(hadoop_path)
+    return bool(matching(spark, path))
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if there is one already."""
+    hadoop_path, files = _on_file_system(spark, path)
+    return files.createNewFile(hadoop_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop_path, files = _on_file_system(spark, path)
+    files.delete(hadoop_path, True)
+
+
+def replace(spark: SparkSession, path: str, target: str) -> None:
+    """Put a written dataset in the place of another one."""
+    source, files = _on_file_system(spark, path)
+    remove(spark, target)
+    if not files.rename(source, _on_file_system(spark, target)[0]):
+        raise OSError(f"could not move {path} to {target}")
 
 
 def write_dataset(df: DataFrame, path: str, partition_by: str | None = None, sort_by: Sequence[str] = ()) -> int:

@@ -30,6 +30,12 @@ def envelope_type(report: str, record: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(schemas.ENVELOPE, inner), T.StructField(report, records)])
 
 
+def _loose_type(report: str) -> T.StructType:
+    """The same envelope with the report as whatever text stands there."""
+    inner = T.StructType([T.StructField(report, T.StringType())])
+    return T.StructType([T.StructField(schemas.ENVELOPE, inner), T.StructField(report, T.StringType())])
+
+
 def empty_report(spark: SparkSession, record: T.StructType) -> DataFrame:
     return spark.createDataFrame([], record)
 
@@ -61,8 +67,9 @@ def parse_documents(
     One declared schema covers all of them, so each document is parsed once: a
     bare list is read as if it stood under the report's name, and a ``return``
     that is not an object reads as NULL, which is just the case in which the
-    top level counts. With ``strict`` a document that is no JSON at all fails
-    the job instead of yielding nothing.
+    top level counts. With ``strict`` a document that is no JSON at all, or
+    has something other than records where the report should be, fails the job
+    instead of yielding nothing.
     """
     keep = keep or []
     text = F.col(doc)
@@ -73,10 +80,14 @@ def parse_documents(
     direct = F.col("_parsed").getField(report)
     found = F.when(wrapped.isNotNull(), wrapped.getField(report)).otherwise(direct)
     if strict:
-        # Only documents that gave nothing are looked at a second time.
-        unreadable = wrapped.isNull() & direct.isNull() & F.get_json_object("_doc", "$").isNull() & (F.trim("_doc") != "null")
-        message = F.lit(f"unreadable JSON document for {report}")
-        found = F.when(unreadable, F.raise_error(message)).otherwise(found)
+        # Only documents that gave nothing are looked at again, as plain text:
+        # was there anything in the report's place, and was it JSON at all?
+        listed = F.concat(F.lit("{" + json.dumps(report) + ":"), F.col("_doc"), F.lit("}"))
+        loose = F.from_json(F.when(F.col("_doc").rlike(STARTS_LIST), listed).otherwise(F.col("_doc")), _loose_type(report))
+        place = F.when(wrapped.isNotNull(), loose[schemas.ENVELOPE].getField(report)).otherwise(loose[report])
+        no_json = F.get_json_object("_doc", "$").isNull() & (F.trim("_doc") != "null")
+        failed = F.raise_error(F.lit(f"unreadable JSON document for {report}"))
+        found = F.when(found.isNull(), F.when(no_json | place.isNotNull(), failed)).otherwise(found)
     return flatten(parsed, found, record, keep)
 
 
@@ -123,12 +134,38 @@ def window_bounds(as_of: dt.date, days_back: int = schemas.LOOKBACK_DAYS) -> tup
     return as_of - dt.timedelta(days=days_back), as_of
 
 
-def in_window(ts: Column, first: dt.date, last: dt.date) -> Column:
-    """Timestamps on the days first..last, as a range on the stored column so
-    that the scan can skip row groups (a date() around it would hide it)."""
-    start = dt.datetime.combine(first, dt.time())
-    stop = dt.datetime.combine(last + dt.timedelta(days=1), dt.time())
-    return (ts >= wall_time(start)) & (ts < wall_time(stop))
+def in_window(ts: Column, first: dt.date | None = None, last: dt.date | None = None) -> Column:
+    """Timestamps on the days first..last, either end open, as a range on the
+    stored column so that the scan can skip row groups (a date() around it
+    would hide it)."""
+    inside = ts.isNotNull()
+    if first is not None:
+        inside = inside & (ts >= wall_time(dt.datetime.combine(first, dt.time())))
+    if last is not None:
+        inside = inside & (ts < wall_time(dt.datetime.combine(last + dt.timedelta(days=1), dt.time())))
+    return inside
+
+
+CORRUPT = "_corrupt"
+
+
+def _named_by_date(folder: str, prefix: str, first: dt.date, last: dt.date) -> str:
+    """One glob for the files of the days first..last, by their names."""
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    return f"{folder}/{prefix}_{{{','.join(map(str, days))}}}.json"
+
+
+def readable_records(docs: DataFrame, report: str, file: Column) -> Column:
+    """The report's records of documents read with a corrupt-record column. A
+    document that is cut off, or holds anything but records where the report
+    should be, fails the job and is named."""
+    named = F.concat(F.lit(f"unreadable {report} in "), file)
+    records = docs[schemas.ENVELOPE].getField(report)
+    return F.when(docs[CORRUPT].isNotNull(), F.raise_error(named)).otherwise(records)
+
+
+def strict_envelope(report: str, record: T.StructType) -> T.StructType:
+    return T.StructType([*envelope_type(report, record).fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def read_landing(
@@ -142,22 +179,26 @@ def read_landing(
 ) -> DataFrame:
     """Wrapped reports from a dated landing zone, with their landing date.
 
-    The date filter is on the file name, a per-file constant, so files outside
-    the range are dropped while the scan is planned and never opened.
+    With both ends of a range only the files of its days are looked up, by
+    name. Otherwise the folder is listed once, by Spark, and the date filter is
+    on the file name, a per-file constant, so files outside the range are never
+    opened. A file that cannot be read whole fails the job.
     """
-    if not path_exists(spark, f"{folder}/{prefix}_*.json"):
-        return empty_report(spark, T.StructType([*record.fields, T.StructField(LANDED_ON, T.DateType())]))
-    docs = (
-        spark.read.schema(envelope_type(report, record))
-        .option("multiLine", True)
-        .option("pathGlobFilter", f"{prefix}_*.json")
-        .json(folder)
+    reader = (
+        spark.read.schema(strict_envelope(report, record)).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT)
     )
+    if first is not None and last is not None:
+        folder = _named_by_date(folder, prefix, first, last)
+    else:
+        reader = reader.option("pathGlobFilter", f"{prefix}_*.json")
+    if not path_exists(spark, folder):
+        return empty_report(spark, T.StructType([*record.fields, T.StructField(LANDED_ON, T.DateType())]))
+    docs = reader.json(folder)
     landed = landing_date(F.col("_metadata.file_name"))
     if first is not None:
         docs = docs.filter(landed >= F.lit(first))
     if last is not None:
         docs = docs.filter(landed <= F.lit(last))
     docs = docs.withColumn(LANDED_ON, landed)
-    flat = flatten(docs, F.col(schemas.ENVELOPE).getField(report), record, keep=[LANDED_ON])
+    flat = flatten(docs, readable_records(docs, report, F.col("_metadata.file_path")), record, keep=[LANDED_ON])
     return flat.select(*record.names, LANDED_ON)

@@ -10,23 +10,24 @@ before it leaves the tables as they were.
     <root>/commits/*.parquet             (commit, table, part)
 
 The log has a row per commit and partition, so what reaches the driver from it
-is bounded by the calendar. One load at a time may run on a root.
+is bounded by the calendar. One load at a time may run on a root: each claims
+the next commit number, and a second one that wants the same number fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide import schemas
 from gridtide.operators import refresh, upsert
-from gridtide.sources.datasets import path_exists, write_dataset
+from gridtide.sources.datasets import create_file, matching, path_exists, remove, write_dataset
 
 
 @dataclass(frozen=True)
@@ -87,13 +88,16 @@ class MarketStore:
         newest = log.groupBy("table", "part").agg(F.max("commit").alias("commit"))
         return {(r.table, r.part): r.commit for r in newest.collect()}
 
-    def read(self, table: Table, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    def read(
+        self, table: Table, first: dt.date | None = None, last: dt.date | None = None, with_part: bool = False
+    ) -> DataFrame:
         """The live rows, or those of the days first..last. Only the folders of
-        the partitions concerned are listed and read."""
+        the partitions concerned are listed and read. ``with_part`` adds the
+        partition date as ``part``: a filter on it opens only its files."""
         low = dt.date.min if first is None else table.part_of(first)
         high = dt.date.max if last is None else last
         live = self.live()
-        df = self._read(table, live, [part for name, part in live if name == table.name and low <= part <= high])
+        df = self._read(table, live, [part for name, part in live if name == table.name and low <= part <= high], with_part)
         if table.monthly and first is not None:
             df = df.filter(F.col(table.key) >= F.lit(first))
         if table.monthly and last is not None:
@@ -103,19 +107,29 @@ class MarketStore:
     def _folder(self, table: Table, commit: int) -> str:
         return f"{self.root}/{table.name}/commit={commit}"
 
-    def _read(self, table: Table, live: Live, parts: Iterable[dt.date]) -> DataFrame:
+    def _read(self, table: Table, live: Live, parts: Iterable[dt.date], with_part: bool = False) -> DataFrame:
+        layout = self.layout(table)
+        if with_part:
+            layout = T.StructType([*layout.fields, PART])
         held = sorted((p, live[table.name, p]) for p in parts if (table.name, p) in live)
         if not held:
-            return self.spark.createDataFrame([], self.layout(table))
+            return self.spark.createDataFrame([], layout)
         folders = [f"{self._folder(table, commit)}/part={part}" for part, commit in held]
-        return self.spark.read.schema(self.layout(table)).parquet(*folders)
+        reader = self.spark.read.schema(layout)
+        if with_part:
+            reader = reader.option("basePath", f"{self.root}/{table.name}")
+        return reader.parquet(*folders).select(*layout.names)
 
     # -- writing ---------------------------------------------------------
 
-    def _check(self, table: Table, batch: DataFrame, required: Sequence[str] = ()) -> dict[dt.date, int]:
-        """Keys per partition the batch touches, after checking them."""
-        by_part = upsert.check_constraints(batch, self.keys(table), required, by=table.part())
-        return {part: counts["n_keys"] for part, counts in by_part.items()}
+    def _claim(self, live: Live) -> int:
+        """The number of this load's commit, taken by creating a file of that
+        name, which only one of several loads can do. A load that runs beside
+        another one, or after one that was killed, fails here."""
+        commit = max(live.values(), default=0) + 1
+        if not create_file(self.spark, f"{self.root}/commits/_claim-{commit}"):
+            raise RuntimeError(f"commit {commit} of {self.root} is claimed by another load; see MarketStore.clean_up")
+        return commit
 
     def _merge(self, table: Table, commit: int, current: DataFrame, batch: DataFrame, merge) -> DataFrame:
         """Write current rows with the batch merged in; return what was written."""
@@ -124,59 +138,86 @@ class MarketStore:
         write_dataset(merged, folder, partition_by=PART.name, sort_by=self.keys(table))
         return self.spark.read.schema(T.StructType([*self.layout(table).fields, PART])).parquet(folder)
 
+    def _touched(self, table: Table, batch: DataFrame) -> set[dt.date]:
+        """The partitions a batch has rows for: dates only, bounded by the
+        calendar. Rows without a key have none and fail the check later."""
+        return {r[0] for r in batch.select(table.part()).distinct().collect()}
+
     def _publish(self, commit: int, parts: dict[str, set[dt.date]]) -> None:
         rows = [(commit, name, part) for name, touched in parts.items() for part in sorted(touched)]
         log = self.spark.createDataFrame(rows, COMMIT).coalesce(1)
         log.write.mode("append").parquet(f"{self.root}/commits")
 
+    def _load(self, table: Table, batch: DataFrame, merge, required: Sequence[str], then) -> int:
+        """Merge a batch, check what was written, publish it with whatever
+        ``then`` writes besides. The batch is worked out twice: for its dates,
+        and where it is merged, which also counts it."""
+        touched = self._touched(table, batch)
+        if not touched:
+            return 0
+        live = self.live()
+        commit = self._claim(live)
+        try:
+            seen = Observation()
+            counted = batch.observe(seen, F.count("*").alias("n_rows"))
+            current = self._read(table, live, touched - {None})
+            written = self._merge(table, commit, current, counted, merge)
+            upsert.check_constraints(written, self.keys(table), required, by=table.part())
+            expected = seen.get["n_rows"]
+            parts = {table.name: touched, **then(commit, live, written, touched, expected)}
+            self._publish(commit, parts)
+        except BaseException:
+            remove(self.spark, f"{self.root}/commits/_claim-{commit}")
+            raise
+        return expected
+
     def load_hourly(self, grid: DataFrame, run_id: str | None = None, as_of=None) -> int:
         """Upsert a joined grid, refresh the days it touches, verify, publish
-        both tables together. Returns the number of hours loaded."""
+        both tables together. Returns the number of hours loaded. All rows of a
+        load carry one time: ``as_of``, or now, in UTC."""
         run_id = run_id or str(uuid.uuid4())
+        as_of = as_of or dt.datetime.now(dt.timezone.utc)
+
+        def daily(commit: int, live: Live, hourly: DataFrame, touched: set[dt.date], expected: int) -> dict:
+            loaded = hourly.filter(F.col("updated_run_id") == run_id).count()
+            if loaded != expected:
+                raise RuntimeError(f"expected {expected} rows from run {run_id}, found {loaded}; nothing published")
+            # The rewritten partitions are whole days, so they are all a refresh needs.
+            months = {DAILY.part_of(day) for day in touched}
+            rest = [c for c in DAILY.layout.names if c != DAILY.key]
+            self._merge(
+                DAILY,
+                commit,
+                self._read(DAILY, live, months),
+                refresh.daily_rows(hourly, as_of, self.series),
+                lambda old, new: upsert.upsert(old, new, self.keys(DAILY), rest),
+            )
+            return {DAILY.name: months}
+
         batch = upsert.hourly_batch(grid, run_id, as_of, self.series)
-        touched = self._check(HOURLY, batch)
-        if not touched:
-            return 0
-        live = self.live()
-        commit = max(live.values(), default=0) + 1
-        hourly = self._merge(
-            HOURLY,
-            commit,
-            self._read(HOURLY, live, touched),
-            batch,
-            lambda old, new: upsert.upsert_hourly(old, new, self.series),
-        )
-        loaded, expected = hourly.filter(F.col("updated_run_id") == run_id).count(), sum(touched.values())
-        if loaded != expected:
-            raise RuntimeError(f"expected {expected} rows from run {run_id}, found {loaded}; nothing published")
-        # The rewritten partitions are whole days, so they are all a refresh needs.
-        months = {DAILY.part_of(day) for day in touched}
-        rest = [c for c in DAILY.layout.names if c != DAILY.key]
-        self._merge(
-            DAILY,
-            commit,
-            self._read(DAILY, live, months),
-            refresh.daily_rows(hourly, as_of, self.series),
-            lambda old, new: upsert.upsert(old, new, self.keys(DAILY), rest),
-        )
-        self._publish(commit, {HOURLY.name: set(touched), DAILY.name: months})
-        return loaded
+        return self._load(HOURLY, batch, lambda old, new: upsert.upsert_hourly(old, new, self.series), (), daily)
 
     def load_silver(self, table: Table, clean: DataFrame, as_of=None) -> int:
         """Upsert one cleaned feed into its silver table and publish it.
         Returns the number of rows in the batch."""
-        batch = upsert.silver_batch(clean, table.layout, as_of, self.series)
-        touched = self._check(table, batch, required=[schemas.LOCAL_HOUR])
-        if not touched:
-            return 0
+        batch = upsert.silver_batch(clean, table.layout, as_of or dt.datetime.now(dt.timezone.utc), self.series)
+        merge = lambda old, new: upsert.upsert_silver(old, new, table.layout, self.series)
+        return self._load(table, batch, merge, [schemas.LOCAL_HOUR], lambda *_: {})
+
+    def clean_up(self) -> int:
+        """Remove the partition folders no commit refers to any more, and the
+        claims of loads that were killed. Returns the number of folders. Run it
+        when no load runs and nobody reads an older state."""
         live = self.live()
-        commit = max(live.values(), default=0) + 1
-        self._merge(
-            table,
-            commit,
-            self._read(table, live, touched),
-            batch,
-            lambda old, new: upsert.upsert_silver(old, new, table.layout, self.series),
-        )
-        self._publish(commit, {table.name: set(touched)})
-        return sum(touched.values())
+        removed = 0
+        for table in (HOURLY, DAILY, SILVER_PRICE, SILVER_LOAD):
+            used = {(commit, part) for (name, part), commit in live.items() if name == table.name}
+            for path in matching(self.spark, f"{self.root}/{table.name}/commit=*/part=*"):
+                commit, part = path.rstrip("/").split("/")[-2:]
+                key = int(commit.removeprefix("commit=")), part.removeprefix("part=")
+                if key not in {(c, str(p)) for c, p in used}:
+                    remove(self.spark, path)
+                    removed += 1
+        for path in matching(self.spark, f"{self.root}/commits/_claim-*"):
+            remove(self.spark, path)
+        return removed

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gridtide import schemas
 from gridtide.operators import arbitrage, daily
 
 D = Decimal
@@ -105,3 +106,12 @@ def test_minimum_may_come_after_maximum(spark):
     hours = hourly(spark, [("2026-08-01 05:00", 100.0, 1), ("2026-08-01 20:00", 20.0, 1)])
     prices = hours.withColumn("pool_price", F.col("pool_price").cast("decimal(10,2)"))
     assert arbitrage.charge_loss_view(daily.price_range(prices)).first().daily_net_profit_cad == D("777.78")
+
+
+def test_battery_parameters_keep_their_digits(spark):
+    ranges = spark.createDataFrame([(D("20.00"), D("100.00"))], "min_charge_price decimal(10,2), max_discharge_price decimal(10,2)")
+    ranges = ranges.withColumn("trade_date_mpt", F.lit("2026-08-01").cast("date"))
+    for df in (arbitrage.charge_loss_view(ranges, "10.125", 0.92555), arbitrage.sweep(ranges, [("1e1", "1"), ("10.125", "0.92555")])):
+        row = df.collect()[-1]
+        assert (row.battery_capacity_mwh, row.round_trip_efficiency) == (D("10.125"), D("0.92555"))
+        assert row.daily_charge_cost_cad == D("218.79") and row.daily_discharge_revenue_cad == D("1012.50")

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import plan_of, price_record, raw_loads, raw_prices, load_record, rows_of
+from pyspark.sql import functions as F
 
 from gridtide import schemas
 from gridtide.operators import clean
@@ -34,7 +35,13 @@ def test_utc_variant_filters_and_dedups(spark):
     )
     df = clean.price_by_utc_hour(raw)
     assert df.columns == [schemas.UTC_HOUR, schemas.LOCAL_HOUR, *schemas.PRICE_METRICS]
-    assert rows_of(df) == [(H0, H0, 3.0, None, None)]
+    # Rows of no stated preference: always the same one, in whatever order they come.
+    (row,) = rows_of(df)
+    assert row[:2] == (H0, H0) and row[2] in (1.0, 2.0, 3.0) and row[3:] == (None, None)
+    assert rows_of(clean.price_by_utc_hour(raw.orderBy("pool_price"))) == [row] == rows_of(clean.price_by_utc_hour(raw.repartition(3)))
+    ranked = raw.withColumn("seq", F.col("pool_price").cast("int"))
+    valid = ranked.filter("begin_datetime_utc LIKE '2026%'")
+    assert rows_of(clean.price_by_utc_hour(valid, prefer=["seq"])) == [(H0, H0, 3.0, None, None)]
 
 
 def test_repeated_local_hours_have_distinct_utc_hours(spark):
@@ -55,20 +62,21 @@ def test_utc_load_is_double(spark):
     assert rows_of(clean.load_by_utc_hour(raw)) == [(H0, H0, 10089.5, None)]
 
 
-@pytest.mark.parametrize("total", [False, True])
-def test_keep_one_follows_preference_and_keeps_rows_whole(spark, total):
+def test_keep_one_follows_preference_and_keeps_rows_whole(spark):
     df = spark.createDataFrame(
         [("a", 1, None, "x"), ("a", 3, None, "y"), ("a", 2, 7.0, "z"), ("b", 1, 1.0, None)],
         "k string, seq int, v double, t string",
     )
-    got = clean.keep_one(df, ["k"], ["seq"], total)
+    got = clean.keep_one(df, ["k"], ["seq"])
     assert got.columns == df.columns
     assert rows_of(got, "k") == [("a", 3, None, "y"), ("b", 1, 1.0, None)]
 
 
 def test_keep_one_treats_null_keys_as_equal(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 5)], "k string, v int")
-    assert rows_of(clean.keep_one(df, ["k"]), "k") == [(None, 2), ("a", 5)]
+    (null, a) = rows_of(clean.keep_one(df, ["k"]), "k")
+    assert null in [(None, 1), (None, 2)] and a == ("a", 5)
+    assert rows_of(clean.keep_one(df.orderBy("v"), ["k"]), "k") == [null, a] == rows_of(clean.keep_one(df.orderBy(F.desc("v")), ["k"]), "k")
     assert rows_of(clean.keep_one(df.select("k"), ["k"]), "k") == [(None,), ("a",)]
 
 
@@ -78,12 +86,26 @@ def test_keep_one_matches_a_ranked_window_on_a_hot_key(spark):
     want = spark.sql(
         "SELECT k, seq, v FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY seq DESC) rn FROM hot) WHERE rn = 1"
     )
-    got = clean.keep_one(df, ["k"], ["seq"], total=True)
+    got = clean.keep_one(df, ["k"], ["seq"])
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     plan = plan_of(got)
     assert "SortAggregate" not in plan and "Window" not in plan and plan.count("HashAggregate") == 2
 
 
+def test_keep_one_with_dates_and_without_any(spark):
+    rows = [("a", dt.date(2026, 1, 2), 1), ("a", dt.date(2026, 1, 3), 2), ("a", None, 3), ("b", None, 4), ("c", dt.date(1950, 1, 1), 5), ("c", None, 6)]
+    df = spark.createDataFrame(rows, "k string, landed date, v int")
+    assert rows_of(clean.keep_one(df, ["k"], ["landed"]).select("k", "v"), "k") == [("a", 2), ("b", 4), ("c", 5)]
+    with pytest.raises(ValueError):
+        clean.keep_one(df, ["v"], ["k"])
+
+
+def test_the_jobs_dedup_does_not_sort(spark):
+    raw = spark.createDataFrame([], schemas.PRICE_RECORD).withColumn("landing_date", F.lit(None).cast("date"))
+    for prefer in ([], ["landing_date"]):
+        assert "SortAggregate" not in plan_of(clean.price_by_utc_hour(raw, prefer=prefer))
+
+
 def test_unique_keys_pass(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     clean.require_unique(df, ["k"])

@@ -5,6 +5,7 @@ import pytest
 from conftest import hourly, rows_of
 from pyspark.sql import functions as F
 
+from gridtide import schemas
 from gridtide.operators import daily
 
 D = Decimal
@@ -80,3 +81,15 @@ def test_completeness(spark):
     rows += [(f"2026-08-01 {h:02d}:00", None, 1) for h in range(22)]
     got = rows_of(daily.completeness(daily.daily_aggregate(hourly(spark, rows))), "grid_date")
     assert got == [(dt.date(2026, 3, 8), 23, 23, 0, True), (dt.date(2026, 8, 1), 22, 24, 2, False)]
+
+
+@pytest.mark.parametrize("kind", ["decimal(10,2)", "double", "decimal(18,6)"])
+@pytest.mark.parametrize("exact", [schemas.MONEY_TYPE, schemas.PRICE_TYPE])
+def test_mean_of_a_big_day_is_rounded_once(spark, kind, exact):
+    # 10,000 prices of 12.35 and 10,001 of 12.34: just under 12.345.
+    hours = spark.range(20_001).select(
+        F.lit("2026-08-01 00:00:00").cast("timestamp_ntz").alias(schemas.LOCAL_HOUR),
+        F.when(F.col("id") < 10_000, 12.35).otherwise(12.34).cast(kind).alias("pool_price"),
+        F.lit(1).alias("alberta_internal_load"),
+    )
+    assert daily.daily_aggregate(hours, exact=exact).first()["avg_price"] == D("12.34")

@@ -7,6 +7,8 @@ import pytest
 from conftest import plan_of
 
 import __spark_entry__ as entry_point
+from gridtide.plans.oracles import ORACLES
+from gridtide.plans.queries import registered
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -14,8 +16,7 @@ TABLES = (
     "conversations"
 ).split()
 WRITES = {"stored_hourly_grid", "stored_daily_agg"}
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = registered()
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +50,53 @@ def test_query_matches_its_oracle(spark, oracle, name):
     assert got
 
 
+def test_entry_registers_all_of_them():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) and set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
+MOVED_DATES = [
+    "upsert_hourly", "upsert_silver", "upsert_silver_load", "batch_dates", "incremental_daily_refresh",
+    "load_verification", "stored_hourly_grid", "stored_daily_agg", "lookback_window", "landing_date_scope",
+]
+
+
+@pytest.fixture(scope="module")
+def other_dates(spark, tmp_path_factory):
+    """The tables with events of other dates too: 40 days before and after."""
+    folder = tmp_path_factory.mktemp("dates")
+    for table in set(TABLES) - {"events"}:
+        (folder / f"{table}.parquet").symlink_to(f"{SF}/{table}.parquet")
+    connection = duckdb.connect()
+    connection.sql(
+        f"""COPY (SELECT * REPLACE (ts + to_days(CAST(d AS INTEGER)) AS ts, event_id * 3 + i AS event_id)
+        FROM '{SF}/events.parquet', (VALUES (-40, 0), (0, 1), (40, 2)) AS moved(d, i)) TO '{folder}/events.parquet'"""
+    )
+    for table in TABLES:
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    return str(folder), connection
+
+
+@pytest.mark.parametrize("name", MOVED_DATES)
+def test_events_of_any_date_count(spark, other_dates, name):
+    folder, connection = other_dates
+    df, want = QUERIES[name](spark, folder), connection.sql(ORACLES[name])
+    assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(want.fetchall(), want.columns)
+
+
+def test_refresh_drops_other_dates_before_it_aggregates(spark):
+    from gridtide.operators import refresh
+    from gridtide.plans import driver_tables as dtab
+
+    hours = dtab.table(spark, SF, "events").select(
+        dtab.hour_of().alias("begin_datetime_mpt"), dtab._money(dtab.F.col("value")).alias("pool_price"),
+        dtab.F.lit(1).alias("alberta_internal_load"),
+    )
+    plan = plan_of(refresh.affected_days(hours, hours.limit(5))).splitlines()
+    depth = {word: next(i for i, line in enumerate(plan) if word in line) for word in ("LeftSemi", "HashAggregate")}
+    assert depth["HashAggregate"] < depth["LeftSemi"]
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["grid_date", "net_daily_profit", "total_profit_acc"] and not df.isEmpty()

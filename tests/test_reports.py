@@ -62,6 +62,33 @@ def test_broken_documents(spark, broken):
         parsed_count(spark, broken, strict=True)
 
 
+@pytest.mark.parametrize(
+    "document",
+    [envelope(REPORT, [5, *ONE]), envelope(REPORT, {"a": 1}), envelope(REPORT, "text"), envelope(REPORT, 7), {REPORT: "text"}, [5, *ONE], [[1]]],
+)
+def test_reports_that_are_no_records_are_not_lost(spark, document):
+    with pytest.raises(Exception, match="unreadable JSON document"):
+        parsed_count(spark, document, strict=True)
+
+
+@pytest.mark.parametrize("text", ['{"return": {"Pool', json.dumps(envelope(REPORT, [5, *ONE])), json.dumps(envelope(REPORT, {"a": 1}))])
+@pytest.mark.parametrize("window", [(None, None), (dt.date(2026, 8, 1), dt.date(2026, 8, 3))])
+def test_a_broken_landing_file_fails_and_is_named(spark, tmp_path, text, window):
+    write_json(tmp_path / "p_2026-08-01.json", envelope(REPORT, ONE))
+    (tmp_path / "p_2026-08-02.json").write_text(text)
+    with pytest.raises(Exception, match="p_2026-08-02.json"):
+        reports.read_landing(spark, str(tmp_path), "p", REPORT, schemas.PRICE_RECORD, *window).collect()
+    only_first = reports.read_landing(spark, str(tmp_path), "p", REPORT, schemas.PRICE_RECORD, window[0], dt.date(2026, 8, 1))
+    assert only_first.count() == 1
+
+
+def test_a_closed_range_names_its_files(spark, tmp_path):
+    for day in range(1, 10):
+        write_json(tmp_path / f"p_2026-08-0{day}.json", envelope(REPORT, ONE))
+    df = reports.read_landing(spark, str(tmp_path), "p", REPORT, schemas.PRICE_RECORD, dt.date(2026, 8, 8), dt.date(2026, 8, 20))
+    assert len(df.inputFiles()) == 2 and df.count() == 2
+
+
 def test_read_enveloped_reads_every_matching_file(spark, tmp_path):
     for day in (1, 2, 3):
         records = [price_record(f"2026-08-0{day} {h:02d}:00", str(day)) for h in range(24)]

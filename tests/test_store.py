@@ -8,6 +8,7 @@ from conftest import (
     PRICES,
     envelope,
     load_record,
+    plan_of,
     price_record,
     raw_prices,
     rows_of,
@@ -19,7 +20,7 @@ from test_upsert import A, B, T0, T1, grid, same
 
 from gridtide import schemas
 from gridtide.operators import clean, refresh, upsert
-from gridtide.plans import jobs
+from gridtide.plans import jobs, views
 from gridtide.plans.feeds import LOAD, PRICE
 from gridtide.session import shared_folder, shuffle_partitions
 from gridtide.sources import tables
@@ -235,7 +236,12 @@ def test_silver_jobs(spark, tmp_path):
 
 def test_command_line(spark, tmp_path):
     land(tmp_path, "2026-08-01", PRICES, LOADS)
-    jobs.main(["build-grid", "--data", str(tmp_path)])
+    build = ["build-grid", "--data", str(tmp_path)]
+    jobs.main([*build, "--as-of", "2026-09-01"])
+    assert spark.read.parquet(f"{tmp_path}/clean/{schemas.GRID_DATASET}").isEmpty()
+    jobs.main([*build, "--as-of", "2026-08-10"])
+    assert spark.read.parquet(f"{tmp_path}/clean/{schemas.GRID_DATASET}").count() == 2
+    jobs.main([*build, "--all"])
     jobs.main(["load-grid", "--data", str(tmp_path), "--store", str(tmp_path / "s"), "--run-id", "r1"])
     assert tables.MarketStore(spark, str(tmp_path / "s")).read(tables.HOURLY).count() == 2
     with pytest.raises(SystemExit):
@@ -267,6 +273,79 @@ def test_following_the_landing_zone(spark, tmp_path):
     assert store.read(tables.SILVER_PRICE).count() == 3
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_the_newest_landing_date_wins_whatever_the_batches(spark, tmp_path, files_per_batch):
+    raw, root, checkpoint = (str(tmp_path / n) for n in ("raw", "store", "checkpoint"))
+    hour = {"local": "2026-08-01 00:00", "utc": "2026-08-01 06:00"}
+
+    def run():
+        landing.follow(spark, raw, PRICE, root, checkpoint, files_per_batch=files_per_batch).awaitTermination(120)
+
+    land(tmp_path, "2026-08-05", [price_record(price="222", **hour)], [])
+    land(tmp_path, "2026-08-04", [price_record(price="111", **hour)], [])
+    run()
+    land(tmp_path, "2026-08-03", [price_record(price="99", **hour), price_record("2026-08-01 01:00", "7")], [])
+    run()
+    prices = rows_of(tables.MarketStore(spark, root).read(tables.SILVER_PRICE).select(schemas.LOCAL_HOUR, "pool_price"), schemas.LOCAL_HOUR)
+    assert [p for _, p in prices] == [D("222.00"), D("7.00")]
+
+
+def test_a_second_load_beside_a_first_one_fails(spark, store):
+    store.load_hourly(grid(spark, A), "r1", T0)
+    store._claim(store.live())  # a load that was killed, or still runs
+    with pytest.raises(RuntimeError, match="claimed by another load"):
+        store.load_hourly(grid(spark, B), "r2", T1)
+    assert store.read(tables.HOURLY).count() == 2
+    store.clean_up()
+    assert store.load_hourly(grid(spark, B), "r2", T1) == 2
+
+
+def test_clean_up_leaves_what_is_live(spark, store):
+    for run, when in (("r1", T0), ("r2", T1)):
+        store.load_hourly(grid(spark, A), run, when)
+    want = rows_of(store.read(tables.HOURLY), schemas.LOCAL_HOUR)
+    assert store.clean_up() == 2 and store.clean_up() == 0
+    assert rows_of(store.read(tables.HOURLY), schemas.LOCAL_HOUR) == want
+
+
+def test_sql_on_one_day_opens_its_files_only(spark, store):
+    store.load_hourly(grid(spark, MONTH), "r1", T0)
+    views.register_store(store)
+    day = spark.sql("SELECT begin_datetime_mpt, part FROM raw_hourly_grid ORDER BY part LIMIT 1").first()["part"]
+    one = spark.sql(f"SELECT * FROM raw_hourly_grid WHERE part = DATE '{day}'")
+    assert one.count() and "part" in plan_of(one).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_two_markets_in_one_store_give_what_each_gives_alone(spark, tmp_path):
+    def built(name, series, frames):
+        store = tables.MarketStore(spark, str(tmp_path / name), series)
+        store.load_hourly(frames(grid(spark, MONTH)), "r1", T0)
+        views.register_store(store)
+        return spark.table("v_daily_battery_arbitrage")
+
+    scaled = lambda df, n: df.withColumn("pool_price", F.col("pool_price") * n)
+    field = [T.StructField("market", T.StringType())]
+    both = lambda df: scaled(df, 1).withColumn("market", F.lit("a")).unionByName(scaled(df, 3).withColumn("market", F.lit("b")))
+    together = rows_of(built("both", field, both), "grid_date", "market")
+    for market, n in (("a", 1), ("b", 3)):
+        alone = rows_of(built(market, [], lambda df, n=n: scaled(df, n)), "grid_date")
+        assert [r[1:] for r in together if r[0] == market] == alone
+
+
+def test_a_load_has_one_time_in_utc(spark, store):
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    store.load_hourly(grid(spark, A), "r1")
+    (hourly,) = store.read(tables.HOURLY).select("ingested_at").distinct().collect()
+    (daily,) = store.read(tables.DAILY).select("computed_at").distinct().collect()
+    assert hourly[0] == daily[0] and before <= hourly[0] <= dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def test_not_a_number_is_stored_as_null(spark, store):
+    raw = raw_prices(spark, [price_record("2026-08-01 00:00", "NaN")])
+    assert store.load_silver(tables.SILVER_PRICE, clean.price_by_utc_hour(raw)) == 1
+    assert store.read(tables.SILVER_PRICE).first()["pool_price"] is None
+
+
 def test_shuffles_are_sized_by_the_data():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(100 * 2**40) == 400 * 1024
