@@ -15,7 +15,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtide.llm.common import shuffle_width
@@ -67,12 +66,16 @@ class Records:
         docs, places = np.cumsum(take(np.int32, n), dtype=np.int64), np.cumsum(take(np.int32, n), dtype=np.int64)
         return Records(ids, rows, docs, places, take(np.uint8, n * width).reshape(n, width) if width else None)
 
-    def by_document(self) -> Iterator[tuple[int, int, bytes]]:
-        order = np.argsort(self.docs, kind="stable")
-        docs, places = self.docs[order], self.places[order].astype(np.int32)
-        cuts = np.flatnonzero(np.diff(docs, prepend=-1))
-        for start, end in zip(cuts, [*cuts[1:], len(docs)], strict=True):
-            yield int(self.ids[docs[start]]), int(self.rows[docs[start]]), places[start:end].tobytes()
+    @staticmethod
+    def joined(parts: list[Records]) -> Records:
+        shift = np.cumsum([0, *[len(p.ids) for p in parts[:-1]]])
+        return Records(
+            np.concatenate([p.ids for p in parts]),
+            np.concatenate([p.rows for p in parts]),
+            np.concatenate([p.docs + s for p, s in zip(parts, shift, strict=True)]),
+            np.concatenate([p.places for p in parts]),
+            None if parts[0].hashes is None else np.concatenate([p.hashes for p in parts]),
+        )
 
 
 def hash_bytes(h1: np.ndarray, h2: np.ndarray | None, width: int) -> np.ndarray:
@@ -130,30 +133,29 @@ def blocks(records: Records, buckets: int, repeats_only_later: bool) -> Iterator
     for start, end in zip(cuts, [*cuts[1:], len(kept)], strict=True):
         yield int(bucket[by_bucket[start]]), records.pick(kept[by_bucket[start:end]]).pack()
     if len(repeats):
+        # Repeats are settled; any bucket passes them on.
         found = records.pick(np.sort(repeats))
         found.hashes = None
-        # Repeats are settled; any bucket passes them on.
-        yield int(found.places[0] + found.rows[0]) % buckets, found.pack()
+        yield int((found.places[0] + found.rows[0]) % buckets), found.pack()
 
 
-def _meet(repeats_only_later: bool, table: pa.Table) -> pa.Table:
-    out: list[tuple[int, int, bytes]] = []
-    parts = []
-    for block in table.column("block").to_pylist():
-        records = Records.unpack(block)
-        if records.hashes is None:
-            out.extend(records.by_document())
-        else:
-            parts.append(records)
+def _answers(parts: list[Records], buckets: int) -> list[tuple[int, bytes]]:
+    """Places packed by a hash of their document."""
+    if not parts:
+        return []
+    found = Records.joined(parts)
+    bucket = (found.rows.view(np.uint64) % np.uint64(buckets)).astype(np.int64)[found.docs]
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    return [(int(bucket[order[s]]), found.pick(order[s:e]).pack()) for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True)]
+
+
+def _meet(repeats_only_later: bool, buckets: int, table: pa.Table) -> pa.Table:
+    """Records of one bucket of hashes: the places of those that repeat."""
+    arrived = [Records.unpack(b) for b in table.column("block").to_pylist()]
+    out, parts = [r for r in arrived if r.hashes is None], [r for r in arrived if r.hashes is not None]
     if parts:
-        shift = np.cumsum([0, *[len(p.ids) for p in parts[:-1]]])
-        joined = Records(
-            np.concatenate([p.ids for p in parts]),
-            np.concatenate([p.rows for p in parts]),
-            np.concatenate([p.docs + s for p, s in zip(parts, shift, strict=True)]),
-            np.concatenate([p.places for p in parts]),
-            np.concatenate([p.hashes for p in parts]),
-        )
+        joined = Records.joined(parts)
         in_order = np.lexsort((joined.places, joined.rows[joined.docs], joined.ids[joined.docs]))
         records = Records(joined.ids, joined.rows, joined.docs[in_order], joined.places[in_order], joined.hashes[in_order])
         order, new = _grouped(_keys(records.hashes))
@@ -166,16 +168,32 @@ def _meet(repeats_only_later: bool, table: pa.Table) -> pa.Table:
             repeat = ~same
         else:
             repeat = np.bincount(group, weights=~same, minlength=int(group[-1]) + 1)[group] > 0
-        out.extend(records.pick(np.sort(order[repeat])).by_document() if repeat.any() else [])
-    columns = list(zip(*out, strict=True)) or [[], [], []]
-    return pa.table({f.name: pa.array(c, t) for f, c, t in zip(PLACES, columns, [pa.int64(), pa.int64(), pa.binary()], strict=True)})
+        if repeat.any():
+            found = records.pick(np.sort(order[repeat]))
+            found.hashes = None
+            out.append(found)
+    answers = _answers(out, buckets)
+    return pa.table({"bucket": pa.array([b for b, _ in answers], pa.int32()), "block": pa.array([x for _, x in answers], pa.binary())})
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """One row per document of a bucket of documents."""
+    found = Records.joined([Records.unpack(b) for b in table.column("block").to_pylist()])
+    ids, rows = found.ids[found.docs], found.rows[found.docs]
+    order = np.lexsort((found.places, ids, rows))
+    ids, rows, places = ids[order], rows[order], found.places[order].astype(np.int32)
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])
+    cuts = np.flatnonzero(new)
+    packed = [places[s:e].tobytes() for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True)]
+    return pa.table({"_at_id": pa.array(ids[cuts]), "_at_row": pa.array(rows[cuts]), "places": pa.array(packed, pa.binary())})
 
 
 def repeated_places(
     rows: DataFrame, records_of: Callable[[Iterator[pa.RecordBatch]], Iterator[Records]], repeats_only_later: bool
 ) -> DataFrame:
-    """One row per document: ``_at_id``, ``_at_row`` and ``places``, a list of
-    blocks of 32-bit word numbers at which a repeated hash stands: all of its
+    """One row per document: ``_at_id``, ``_at_row`` and ``places``, the word
+    numbers, as 32-bit integers, at which a repeated hash stands: all of its
     places, or all but its earliest one."""
     buckets = 4 * shuffle_width(rows.sparkSession)
 
@@ -188,9 +206,9 @@ def repeated_places(
                     names=["bucket", "block"],
                 )
 
-    met = rows.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(lambda t: _meet(repeats_only_later, t), PLACES)
-    return met.groupBy("_at_id", "_at_row").agg(F.collect_list("places").alias("places"))
+    met = rows.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(lambda t: _meet(repeats_only_later, buckets, t), BLOCK)
+    return met.groupBy("bucket").applyInArrow(_by_document, PLACES)
 
 
-def unpack_places(blocks_of_one: list[bytes]) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(blocks_of_one), dtype=np.int32)).astype(np.int64)
+def unpack_places(packed: bytes) -> np.ndarray:
+    return np.unique(np.frombuffer(packed, dtype=np.int32)).astype(np.int64)

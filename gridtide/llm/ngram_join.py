@@ -8,14 +8,16 @@ passage that very many documents hold stands last and brings nobody together.
 
 Each such prefix shingle is a tile. Sets of a tile are sorted by size and cut
 into bands within which sizes allow a link, and the smallest set of a band is
-compared with the others of it. That joins most groups of copies with a number
-of pairs in proportion to the documents. Then components are worked out, and
-only tiles that still hold several components give the pairs between them that
-sizes allow; all other pairs can add nothing.
+compared with the others of it, and each with its neighbour in an order of the
+tile's own. That joins most groups of copies with a number of pairs in
+proportion to the documents. Then components are worked out, and only tiles
+that still hold several components are looked at again: for pairs between them,
+as all others can add nothing.
 
 A pair's hashed bitmaps bound its overlap from above: a bit that one set has
-and the other lacks is an element less. Only pairs that the bound lets pass
-fetch their sorted shingle arrays and are intersected.
+and the other lacks is an element less. In the second round the bound is taken
+inside the tile. Only pairs that it lets pass fetch their sorted shingle arrays
+and are intersected.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from gridtide.llm.common import keep_table, shuffle_width, whole
 from gridtide.llm.components import components
 from gridtide.llm.exchange import Records, hash_bytes
-from gridtide.llm.words import Slice, in_slices, range_hashes
+from gridtide.llm.words import Slice, in_slices, mixed, range_hashes
 
 SKETCH_LOG, SKETCH_PARTS = 20, 64
 
@@ -148,7 +150,9 @@ def _prefixes(length: int, percent: int, frequency, buckets: int):
     return send
 
 
-MEMBERS = "tile bigint, id bigint, digest bigint, size bigint, leader bigint, leader_digest bigint"
+MEMBERS = (
+    "tile bigint, id bigint, digest bigint, size bigint, leader bigint, leader_digest bigint, next bigint, next_digest bigint"
+)
 
 
 def _tiles(percent: int):
@@ -179,10 +183,16 @@ def _tiles(percent: int):
                 stop = int(np.searchsorted(sizes[at:end], sizes[at] * 100 // percent, side="right")) + at
                 lead[at:stop] = at
                 at = stop
+        # Neighbours in an order of each tile's own, within the band.
+        turn = np.lexsort((mixed(digests.view(np.uint64) ^ tile), lead))
+        later = np.roll(turn, -1)
+        neighbour = np.empty(len(tile), dtype=np.int64)
+        neighbour[turn] = np.where(lead[later] == lead[turn], later, turn) if len(turn) else turn
         return pa.table(
             {
                 "tile": pa.array(tile.view(np.int64)), "id": pa.array(ids), "digest": pa.array(digests),
                 "size": pa.array(sizes, pa.int64()), "leader": pa.array(ids[lead]), "leader_digest": pa.array(digests[lead]),
+                "next": pa.array(ids[neighbour]), "next_digest": pa.array(digests[neighbour]),
             }
         )
 
@@ -202,7 +212,7 @@ def _set_rows(length: int):
                     "digest": pa.array(_digests(docs, shingles, len(ids))),
                     "n": pa.array(np.diff(ends), pa.int64()),
                     "bits": pa.array([bitmap(s) for s in sets], pa.binary()),
-                    "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+                    "shingles": pa.array([packed_set(s) for s in sets], pa.binary()),
                 }
             )
 
@@ -218,6 +228,17 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def packed_set(shingles: np.ndarray) -> bytes:
+    """The leading six bytes of each of the sorted hashes."""
+    return (shingles >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked_set(packed: bytes) -> np.ndarray:
+    padded = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
+    padded[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return padded.view(np.uint64)[:, 0]
+
+
 def overlap_bound(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
     """No two sets with these bitmaps and sizes overlap by more."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -228,14 +249,11 @@ def overlap_bound(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
 
 
 def _linked(percent: int):
-    def enough(overlap: int, n_a: int, n_b: int) -> bool:
-        return 100 * overlap >= percent * (n_a + n_b - overlap)
-
     @F.pandas_udf("boolean")
     def possible(a, n_a, b, n_b):
         import pandas as pd
 
-        return pd.Series([enough(overlap_bound(p, i, q, j), i, j) for p, i, q, j in zip(a, n_a, b, n_b, strict=True)], dtype=bool)
+        return pd.Series([linked(overlap_bound(p, i, q, j), i, j, percent) for p, i, q, j in zip(a, n_a, b, n_b, strict=True)], dtype=bool)
 
     @F.pandas_udf("boolean")
     def certain(a, b):
@@ -243,9 +261,9 @@ def _linked(percent: int):
 
         found = []
         for p, q in zip(a, b, strict=True):
-            x, y = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            x, y = unpacked_set(p), unpacked_set(q)
             at = np.searchsorted(y, x)
-            found.append(enough(int((y[np.minimum(at, len(y) - 1)] == x).sum()), len(x), len(y)))
+            found.append(linked(int((y[np.minimum(at, len(y) - 1)] == x).sum()), len(x), len(y), percent))
         return pd.Series(found, dtype=bool)
 
     return possible, certain
@@ -267,20 +285,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_sides(left, "shingles").filter(certain("a_shingles", "b_shingles")).select("a", "b")
 
 
+def _ordered_pair():
+    """The columns of a pair, the smaller (id, digest) first."""
+    a, b = (F.struct(F.col(s).alias("id"), F.col(f"{s}_digest").alias("digest")) for s in "ab")
+    sides = {"a": F.least(a, b), "b": F.greatest(a, b)}
+    return [c for s, side in sides.items() for c in (side["id"].alias(s), side["digest"].alias(f"{s}_digest"))]
+
+
+def linked(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
+    return 100 * overlap >= percent * (n_a + n_b - overlap)
+
+
 def _contested(percent: int):
     def pairs(table: pa.Table) -> pa.Table:
-        """Pairs of different components within a size band, each once."""
+        """Pairs of different components that sizes and bitmaps allow."""
         cols = {c: table.column(c).to_numpy() for c in ("tile", "id", "digest", "size", "component")}
         order = np.lexsort((cols["id"], cols["size"], cols["tile"]))
         tile, ids, digests, sizes, comp = (cols[c][order] for c in ("tile", "id", "digest", "size", "component"))
+        bits = table.column("bits").take(pa.array(order)).to_pylist()
+
+        def words(i: int, size: int) -> np.ndarray:
+            """The bitmap folded to ``size`` bytes."""
+            whole_map = np.frombuffer(bits[i], np.uint8)
+            if len(whole_map) == size:
+                return whole_map
+            return np.packbits(np.unpackbits(whole_map).reshape(size * 8, -1).any(axis=1))
+
         new = np.ones(len(tile), dtype=bool)
         new[1:] = tile[1:] != tile[:-1]
-        ends = np.repeat([*np.flatnonzero(new)[1:], len(tile)], np.diff([*np.flatnonzero(new), len(tile)]))
-        found = set()
-        for i in range(len(tile)):
-            stop = i + 1 + int(np.searchsorted(sizes[i + 1 : ends[i]], sizes[i] * 100 // percent, side="right"))
-            for j in np.flatnonzero(comp[i + 1 : stop] != comp[i]) + i + 1:
-                found.add((ids[i], digests[i], ids[j], digests[j]))
+        starts = np.flatnonzero(new)
+        found: set[tuple] = set()
+        for start, end in zip(starts, [*starts[1:], len(tile)], strict=True):
+            # One width for the tile; folding only loosens the bound.
+            width = min(len(bits[i]) for i in range(start, end))
+            rows = np.stack([words(i, width) for i in range(start, end)])
+            n = sizes[start:end]
+            for i in range(end - start):
+                stop = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
+                others = np.flatnonzero(comp[start + i + 1 : start + stop] != comp[start + i]) + i + 1
+                if not len(others):
+                    continue
+                for block in np.array_split(others, -(-len(others) // 4096)):
+                    lacks = np.bitwise_count(rows[i] & ~rows[block]).sum(axis=1, dtype=np.int64)
+                    extra = np.bitwise_count(~rows[i] & rows[block]).sum(axis=1, dtype=np.int64)
+                    bound = np.minimum(n[i] - lacks, n[block] - extra)
+                    for j in block[100 * bound >= percent * (n[i] + n[block] - bound)]:
+                        p, q = sorted(((int(ids[start + i]), int(digests[start + i])), (int(ids[start + j]), int(digests[start + j]))))
+                        found.add((*p, *q))
         columns = list(zip(*found, strict=True)) or [[], [], [], []]
         return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("a", "a_digest", "b", "b_digest"), columns, strict=True)})
 
@@ -298,7 +349,7 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     nothing. Ids are whole numbers; rows without an id are in no component
     (null). Rows under one id are versions of one document: a link of either is
     a link of both, and rows alike in id and text are one row of the result.
-    Other columns are ignored. Shingles are known by 64-bit hashes.
+    Other columns are ignored. Shingles are known by 48 bits of a hash.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -316,9 +367,13 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     sets = keep_table(
         texts.mapInArrow(_set_rows(length), "id bigint, digest bigint, n bigint, bits binary, shingles binary"), "shingles"
     )
-    led = members.filter("digest <> leader_digest").select(
-        F.col("leader").alias("a"), F.col("leader_digest").alias("a_digest"), F.col("id").alias("b"), F.col("digest").alias("b_digest")
-    )
+    tried = [
+        members.filter(F.col("digest") != F.col(f"{other}_digest")).select(
+            F.col(other).alias("a"), F.col(f"{other}_digest").alias("a_digest"), F.col("id").alias("b"), F.col("digest").alias("b_digest")
+        )
+        for other in ("leader", "next")
+    ]
+    led = tried[0].unionByName(tried[1]).select(*_ordered_pair())
     links = keep_table(confirmed(led.distinct(), sets, percent), "links")
 
     # The tiles that still hold several components.
@@ -328,7 +383,9 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     )
     placed = keep_table(placed, "placed")
     contested = placed.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    bits = sets.select(F.col("id").alias("of_id"), F.col("digest").alias("of_digest"), "bits").dropDuplicates(["of_id", "of_digest"])
     open_members = placed.join(contested.select("tile"), "tile", "left_semi")
+    open_members = open_members.join(bits, (F.col("id") == F.col("of_id")) & (F.col("digest") == F.col("of_digest"))).drop("of_id", "of_digest")
     pairs = (
         open_members.withColumn("bucket", F.pmod(F.xxhash64("tile"), F.lit(buckets)))
         .groupBy("bucket")

@@ -6,7 +6,7 @@ four numbers whose differences are all remainders. Whatever two places a
 repeated window stands at, there is an offset below 13 at which both are in the
 cover, so both hold the same anchor there. Anchors that occur once are
 therefore in no repeated window, and only windows around the others are
-extended to their whole length and compared by a 128-bit hash.
+extended to their whole length and compared by a 96-bit hash.
 
 Texts move once, by document, and are read twice from that shuffle; anchors
 and windows move as compressed blocks (``gridtide.llm.exchange``).
@@ -61,7 +61,7 @@ def _windows(window: int):
             docs, at = part.run_starts(window)
             chosen = np.cumsum(near)[at] > 0
             docs, at = docs[chosen], at[chosen]
-            hashes = hash_bytes(part.run_hashes(at, window), part.run_hashes(at, window, 1), 13)
+            hashes = hash_bytes(part.run_hashes(at, window), part.run_hashes(at, window, 1), 12)
             yield Records(part.ids, part.rows, docs, at - part.first[docs], hashes)
 
     return records
