@@ -1,10 +1,11 @@
 """Byte-level pair encoding and decoding with a given vocabulary.
 
-Texts are cut into pre-tokens, each slice of documents numbers its distinct
-ones, and keeps its text as a sequence of these numbers: the positions. The
-distinct pre-tokens of all slices are dealt to buckets by a hash, so each is
-encoded once in its bucket whatever the number of slices that have it, and the
-ids are joined back to the slices, where sequences turn into ids by position.
+Texts are cut into words, each slice of documents numbers its distinct ones,
+and keeps its text as a sequence of these numbers: the positions. The distinct
+words of all slices are dealt to buckets by a hash, so each is cut into
+pre-tokens and encoded once in its bucket whatever the number of slices that
+have it, and the ids are joined back to the slices, where sequences turn into
+ids by position.
 Sequences and word lists travel as compressed blocks; a common word costs one
 entry per slice.
 
@@ -34,9 +35,13 @@ from pyspark.sql import functions as F
 
 from gridtide.llm.common import shuffle_width, whole
 
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20
 PIECE_CHARS = 4 << 20
 BATCH_TOKENS = 1 << 20
+# A space between two characters of which none is white space, by anyone's
+# definition; and texts in which not every space is such a one.
+CUT = regex.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
+AWKWARD = regex.compile(r"^ | $|[\s\x1c-\x1f\x85] | [\s\x1c-\x1f\x85]")
 BLOCK = "slice bigint, part int, block binary"
 
 
@@ -112,43 +117,54 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
 
 
+def _chunks(text: str) -> Iterator[str]:
+    """A text cut before spaces, in parts of a bounded size; the space at a cut
+    is left out, and stands in front of every part but the first."""
+    start = 0
+    while len(text) - start > PIECE_CHARS:
+        cut = CUT.search(text, start + PIECE_CHARS)
+        if not cut:
+            break
+        yield text[start : cut.start()]
+        start = cut.end()
+    yield text[start:]
+
+
 class CutSlice:
-    """Documents of a slice as numbers of their distinct pre-tokens."""
+    """Documents of a slice as numbers of their distinct words.
 
-    def __init__(self, ids: list, rows: list, texts: list[str], pattern: str, buckets: int):
-        cut, numbers = _cutter(pattern), defaultdict(count().__next__)
+    A word goes from one lone space to the next and has the space in front of
+    it. No pre-token reaches over such a space, so the pre-tokens of a text are
+    those of its words.
+    """
+
+    def __init__(self, ids: list, rows: list, texts: list[str], buckets: int):
+        number = count().__next__
+        opening, spaced = defaultdict(number), defaultdict(number)
         sequences, self.sizes = [], []
         for text in texts:
-            found = [self._numbered(cut, text, numbers)] if len(text) <= PIECE_CHARS else list(self._streamed(cut, text, numbers))
-            sequences += found
-            self.sizes.append(sum(map(len, found)))
+            size = len(sequences)
+            for n, chunk in enumerate(_chunks(text) if text else ()):
+                words = CUT.split(chunk) if AWKWARD.search(chunk) else chunk.split(" ")
+                if n == 0:
+                    sequences.append(np.array([opening[words.pop(0)]], np.int32))
+                sequences.append(np.fromiter(map(spaced.__getitem__, words), np.int32, len(words)))
+            self.sizes.append(sum(map(len, sequences[size:])))
         self.ids, self.rows = ids, rows
-        words = [w.encode() for w in numbers]
+        words = [b""] * (len(opening) + len(spaced))
+        for space, numbers in ((b"", opening), (b" ", spaced)):
+            for word, n in numbers.items():
+                words[n] = space + word.encode()
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
         # Numbers run through bucket 0's words, then bucket 1's, each in byte order.
         order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
-        renumbered = np.empty(len(words), dtype=np.int64)
-        renumbered[order] = np.arange(len(words))
+        renumbered = np.empty(len(words), dtype=np.int32)
+        renumbered[order] = np.arange(len(words), dtype=np.int32)
         self.words, self.bucket = [words[i] for i in order], bucket[order] if len(words) else bucket
-        self.sequence = renumbered[np.concatenate(sequences)] if sequences else np.empty(0, np.int64)
+        self.sequence = renumbered[np.concatenate(sequences)] if sequences else np.empty(0, np.int32)
         known = hashlib.blake2b(repr((rows, self.sizes)).encode(), digest_size=8).digest()
         self.key = int.from_bytes(known, "little", signed=True)
 
-    @staticmethod
-    def _numbered(cut, text: str, numbers) -> np.ndarray:
-        found = cut.findall(text)
-        return np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
-
-    @staticmethod
-    def _streamed(cut, text: str, numbers) -> Iterator[np.ndarray]:
-        held = []
-        for found in cut.finditer(text):
-            held.append(numbers[found[0]])
-            if len(held) == BATCH_TOKENS:
-                yield np.array(held, np.int32)
-                held = []
-        yield np.array(held, np.int32)
-
     def word_blocks(self) -> Iterator[tuple[int, int, bytes]]:
         cuts = np.flatnonzero(np.diff(self.bucket, prepend=-1)) if len(self.words) else []
         for start, end in zip(cuts, [*cuts[1:], len(self.words)], strict=True) if len(self.words) else ():
@@ -162,17 +178,17 @@ class CutSlice:
         return self.key, -1, _pack(ids, named, np.array(self.sizes, np.int64).tobytes(), _planes(self.sequence))
 
 
-def _cut_slices(batches: Iterable[pa.RecordBatch], pattern: str, buckets: int) -> Iterator[CutSlice]:
+def _cut_slices(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[CutSlice]:
     ids, rows, texts, size = [], [], [], 0
     for batch in batches:
         for i, row, text in zip(*[batch.column(c).to_pylist() for c in ("id", "row", "text")], strict=True):
             if texts and size + len(text) > SLICE_BYTES:
-                yield CutSlice(ids, rows, texts, pattern, buckets)
+                yield CutSlice(ids, rows, texts, buckets)
                 ids, rows, texts, size = [], [], [], 0
             ids.append(i), rows.append(row), texts.append(text)
             size += len(text)
     if texts:
-        yield CutSlice(ids, rows, texts, pattern, buckets)
+        yield CutSlice(ids, rows, texts, buckets)
 
 
 def _blocks(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -205,15 +221,15 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     )
 
     def words(batches):
-        for part in _cut_slices(batches, pattern, buckets):
+        for part in _cut_slices(batches, buckets):
             yield _blocks(list(part.word_blocks()))
 
     def sequences(batches):
-        for part in _cut_slices(batches, pattern, buckets):
+        for part in _cut_slices(batches, buckets):
             yield _blocks([part.sequence_block()])
 
     def encode_words(table: pa.Table) -> pa.Table:
-        known, out = {}, []
+        cut, known, pieces, out = _cutter(pattern), {}, {}, []
         for key_, part, block in zip(*[table.column(c).to_pylist() for c in ("slice", "part", "block")], strict=True):
             sizes, joined = _unpack(block) if block else (b"", b"")
             at, counts, ids = 0, [], []
@@ -222,7 +238,12 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
                 at += size
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = encode_piece(word, ranks.value)
+                    found = []
+                    for piece in cut.findall(word.decode()):
+                        if piece not in pieces:
+                            pieces[piece] = encode_piece(piece.encode(), ranks.value)
+                        found += pieces[piece]
+                    known[word] = found
                 counts.append(len(found))
                 ids += found
             out.append((key_, part, _pack(_planes(np.array(counts, np.int64)), _planes(np.array(ids, np.int64)))))
