@@ -98,30 +98,34 @@ def suspects(rows: DataFrame, items: DataFrame, lengths: list[int], window: int,
     return met.groupBy(ID, ROW, "n_words").agg(F.max(F.col("known").isNotNull()).alias("hit"))
 
 
+def _placed(rows: DataFrame, keep: list[str], n: int) -> DataFrame:
+    """A row per run of n words: its place and hash. The hashes are worked out
+    before, and the words left behind, so that exploding copies neither."""
+    hashed = rows.select(*keep, grams(F.col("words"), n).alias("gs"))
+    return hashed.select(*keep, F.posexplode("gs").alias("pos", "g"))
+
+
 def extended(near: DataFrame, items: DataFrame, lengths: list[int]) -> DataFrame:
     """Row identity, start and length of each window hit, and its items: every
-    window of the suspects against the items', by hash and then by word."""
-    hits, words = None, F.col("words")
+    window of the suspects against the items', by hash and then by word. Hits
+    meet their document's words once, all of a document together."""
+    hits = None
     for n in lengths:
-        window = F.slice("words", F.col("pos") + 1, F.lit(n))
-        # The hashes are worked out first, so that exploding stays in generated code.
-        placed = lambda df, keep, n=n: df.select(*keep, "words", grams(words, n).alias("gs")).select(
-            *keep, "words", F.posexplode("gs").alias("pos", "g")
-        )
+        of_n = items.filter(F.col("length") == n).select("item", "words", grams(F.col("words"), n).alias("gs"))
         of_items = (
-            placed(items.filter(F.col("length") == n), ["item"])
-            .select("g", same_case(window).alias("w"), "item")
+            of_n.select("item", "words", F.posexplode("gs").alias("pos", "g"))
+            .select("g", same_case(F.slice("words", F.col("pos") + 1, F.lit(n))).alias("w"), "item")
             .groupBy("g", "w")
             .agg(F.collect_set("item").alias("items"))
         )
-        found = (
-            placed(near, [ID, ROW])
-            .join(_small(of_items), "g")
-            .filter(same_case(window) == F.col("w"))
-            .select(ID, ROW, F.col("pos").alias("start"), F.lit(n).alias("length"), "items")
-        )
+        found = _placed(near, [ID, ROW], n).join(_small(of_items), "g")
+        found = found.select(ID, ROW, F.struct(F.col("pos").alias("start"), F.lit(n).alias("length"), "w", "items").alias("hit"))
         hits = found if hits is None else hits.unionByName(found)
-    return hits
+    per_row = hits.groupBy(F.col(ID).alias("_hit_id"), F.col(ROW).alias("_hit_row")).agg(F.collect_list("hit").alias("hits"))
+    met = near.join(per_row, near[ID].eqNullSafe(per_row["_hit_id"]) & (near[ROW] == per_row["_hit_row"]))
+    same = F.filter("hits", lambda h: same_case(F.slice("words", h["start"] + 1, h["length"])) == h["w"])
+    hit = met.select(ID, ROW, same.alias("hits")).select(ID, ROW, F.explode("hits").alias("hit"))
+    return hit.select(ID, ROW, "hit.start", "hit.length", "hit.items")
 
 
 def find_contamination(
