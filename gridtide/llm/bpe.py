@@ -251,7 +251,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
 
     def assemble(table: pa.Table) -> pa.Table:
         parts = sorted(zip(table.column("part").to_pylist(), table.column("block").to_pylist(), strict=True), key=lambda p: p[0])
-        answers = [_unpack(block) for part, block in parts if part >= 0]
+        # Two slices of the same documents have one key, and the same words.
+        answers = [_unpack(block) for part, block in sorted({part: block for part, block in parts if part >= 0}.items())]
         counts = np.concatenate([np.empty(0, np.int64), *[_unplanes(a[0]) for a in answers]])
         ids = np.concatenate([np.empty(0, np.int64), *[_unplanes(a[1]) for a in answers if len(a) > 1]]).astype("<u4")
         starts = np.cumsum(counts) - counts

@@ -81,14 +81,20 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def _of_length(n: int):
+    return lambda f: F.xxhash64(F.lit(n), f)
+
+
 def suspects(rows: DataFrame, items: DataFrame, lengths: list[int], window: int, gram: int) -> DataFrame:
     """Row identity, ``n_words`` and ``hit``: whether the row shares a
     fingerprint with any item. Each text is read and split once."""
     words, mine, known = F.col("words"), F.array().cast("array<bigint>"), None
+    if not lengths:
+        return rows.select(ID, ROW, F.size("words").cast("bigint").alias("n_words"), F.lit(False).alias("hit")).distinct()
     for n in lengths:
         prints = fingerprints(words, n, gram) if n == window else grams(words, n)
         # Lengths are kept apart: a hash says what length it is of.
-        tagged = prints if n == window else F.transform(prints, lambda f, n=n: F.xxhash64(F.lit(n), f))
+        tagged = prints if n == window else F.transform(prints, _of_length(n))
         mine = tagged if len(lengths) == 1 else F.concat(mine, tagged)
         of_n = items.filter(F.col("length") == n).select(F.explode(tagged).alias("known"))
         known = of_n if known is None else known.unionByName(of_n)
@@ -152,7 +158,11 @@ def find_contamination(
     # At most ``window`` numbers.
     lengths = sorted(r["length"] for r in items.select("length").distinct().collect())
     checked = keep_table(suspects(rows, items, lengths, window, gram), "suspects")
-    near = rows.join(checked.filter("hit"), [rows[ID].eqNullSafe(checked[ID]), rows[ROW] == checked[ROW]], "left_semi")
+    # Texts move only if the suspects are too many to broadcast, and words never.
+    texts = identified(docs, key, text)
+    suspected = _small(checked.filter("hit").select(F.col(ID).alias("_hit_id"), F.col(ROW).alias("_hit_row")))
+    near = texts.join(suspected, texts[ID].eqNullSafe(suspected["_hit_id"]) & (texts[ROW] == suspected["_hit_row"]), "left_semi")
+    near = keep_table(near, "near").select(ID, ROW, words_of(F.col("_text")).alias("words"))
     none = F.array().cast("array<string>")
     if lengths:
         spans = extended(near, items, lengths).groupBy(ID, ROW, "start", "length").agg(F.first("items").alias("items"))
