@@ -81,7 +81,7 @@ class Records:
 def hash_bytes(h1: np.ndarray, h2: np.ndarray | None, width: int) -> np.ndarray:
     """The first bytes of one or two 64-bit hashes, a row for each."""
     both = np.ascontiguousarray(h1)[:, None] if h2 is None else np.stack([h1, h2], axis=1)
-    return np.ascontiguousarray(both).view(np.uint8).reshape(len(h1), -1)[:, :width]
+    return np.ascontiguousarray(both).view(np.uint8).reshape(len(h1), 8 * both.shape[1])[:, :width]
 
 
 def _keys(hashes: np.ndarray) -> np.ndarray:
@@ -150,7 +150,7 @@ def _answers(parts: list[Records], buckets: int) -> list[tuple[int, bytes]]:
     return [(int(bucket[order[s]]), found.pick(order[s:e]).pack()) for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True)]
 
 
-def _meet(repeats_only_later: bool, buckets: int, table: pa.Table) -> pa.Table:
+def _meet(repeats_only_later: bool, gathered: int, table: pa.Table) -> pa.Table:
     """Records of one bucket of hashes: the places of those that repeat."""
     arrived = [Records.unpack(b) for b in table.column("block").to_pylist()]
     out, parts = [r for r in arrived if r.hashes is None], [r for r in arrived if r.hashes is not None]
@@ -172,7 +172,7 @@ def _meet(repeats_only_later: bool, buckets: int, table: pa.Table) -> pa.Table:
             found = records.pick(np.sort(order[repeat]))
             found.hashes = None
             out.append(found)
-    answers = _answers(out, buckets)
+    answers = _answers(out, gathered)
     return pa.table({"bucket": pa.array([b for b, _ in answers], pa.int32()), "block": pa.array([x for _, x in answers], pa.binary())})
 
 
@@ -206,7 +206,9 @@ def repeated_places(
                     names=["bucket", "block"],
                 )
 
-    met = rows.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(lambda t: _meet(repeats_only_later, buckets, t), BLOCK)
+    # A block of answers for each task that gathers documents, from each bucket.
+    gathered = shuffle_width(rows.sparkSession)
+    met = rows.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(lambda t: _meet(repeats_only_later, gathered, t), BLOCK)
     return met.groupBy("bucket").applyInArrow(_by_document, PLACES)
 
 

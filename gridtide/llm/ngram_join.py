@@ -177,7 +177,7 @@ def _tiles(percent: int):
         lead = np.zeros(len(tile), dtype=np.int64)
         at = 0
         starts = np.flatnonzero(np.diff(tile, prepend=tile[:1] ^ np.uint64(1))) if len(tile) else []
-        for start, end in zip(starts, [*starts[1:], len(tile)], strict=True):
+        for start, end in zip(starts, [*starts[1:], len(tile)] if len(tile) else [], strict=True):
             at = int(start)
             while at < end:  # a band: sizes within the share of its smallest
                 stop = int(np.searchsorted(sizes[at:end], sizes[at] * 100 // percent, side="right")) + at
