@@ -39,9 +39,10 @@ SLICE_BYTES = 8 << 20
 PIECE_CHARS = 4 << 20
 BATCH_TOKENS = 1 << 20
 # A space between two characters of which none is white space, by anyone's
-# definition; and texts in which not every space is such a one.
+# definition; and what texts have in which not every space is such a one.
 CUT = regex.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
-AWKWARD = regex.compile(r"^ | $|[\s\x1c-\x1f\x85] | [\s\x1c-\x1f\x85]")
+AWKWARD = ["  ", " \n", "\n ", *map(chr, [9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)])]
+AWKWARD += map(chr, [0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 BLOCK = "slice bigint, part int, block binary"
 
 
@@ -117,6 +118,10 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
 
 
+def _is_awkward(text: str) -> bool:
+    return text[:1] == " " or text[-1:] == " " or any(a in text for a in AWKWARD)
+
+
 def _chunks(text: str) -> Iterator[str]:
     """A text cut before spaces, in parts of a bounded size; the space at a cut
     is left out, and stands in front of every part but the first."""
@@ -145,7 +150,7 @@ class CutSlice:
         for text in texts:
             size = len(sequences)
             for n, chunk in enumerate(_chunks(text) if text else ()):
-                words = CUT.split(chunk) if AWKWARD.search(chunk) else chunk.split(" ")
+                words = CUT.split(chunk) if _is_awkward(chunk) else chunk.split(" ")
                 if n == 0:
                     sequences.append(np.array([opening[words.pop(0)]], np.int32))
                 sequences.append(np.fromiter(map(spaced.__getitem__, words), np.int32, len(words)))
@@ -156,8 +161,8 @@ class CutSlice:
             for word, n in numbers.items():
                 words[n] = space + word.encode()
         bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-        # Numbers run through bucket 0's words, then bucket 1's, each in byte order.
-        order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
+        # Numbers run through bucket 0's words, then bucket 1's, as they first occur.
+        order = np.argsort(bucket, kind="stable")
         renumbered = np.empty(len(words), dtype=np.int32)
         renumbered[order] = np.arange(len(words), dtype=np.int32)
         self.words, self.bucket = [words[i] for i in order], bucket[order] if len(words) else bucket
