@@ -80,7 +80,8 @@ def _rank(df: DataFrame, prefer: Sequence[str], rest: Sequence[str]) -> Column:
 def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
     """One row per key, always the same one: that with the greatest ``prefer``
     column (at most one, of dates or whole numbers), and of several the one
-    whose hash is greatest.
+    whose hash is greatest. With nothing preferred and a single column beside
+    the keys it is the greatest value of that column.
 
     This is a hash aggregate, combined before the shuffle: a key repeated in a
     third of all rows sends one row per task, and no row is sorted. Only text
@@ -90,6 +91,8 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ()) ->
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
+    if not prefer and len(rest) == 1:  # the greatest value is the row
+        return df.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(*df.columns)
     ranked = df.withColumn("_rank", _rank(df, prefer, rest))
     one = ranked.groupBy(*keys).agg(*[F.max_by(c, "_rank").alias(c) for c in rest])
     return one.select(*df.columns)
