@@ -235,3 +235,28 @@ def test_covered_tokens(pages):
 def test_no_pages(spark):
     none = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert html_text.extract_text(none).collect() == []
+
+
+@pytest.mark.parametrize("wrapper", ['class="layout with-sidebar"', 'id="page" class="site no-sidebar"', 'class="search-enabled"', 'class="no-sidebar"><div class="has-banner"'])
+def test_marked_wrapper_does_not_hide_the_article(wrapper):
+    def main(body):
+        return [t for state, t in html_text.page_blocks(body) if state == "main"]
+
+    for name in ("article", "main"):
+        assert main(f"<div {wrapper}><nav>menu</nav><{name}><h1>Title</h1><p>the text of it</p><p class='ad'>buy</p></{name}></div>") == ["Title", "the text of it"]
+    assert main(f"<main><h1>Title</h1><div {wrapper}><article>the text of it</article></div></main>") == ["Title", "the text of it"]
+    two = "".join(f"<div {wrapper}><article>text {n}</article></div></div>" for n in "ab")
+    assert main(two) == ["text a", "text b"]
+
+
+def test_articles_of_widgets_stay_out():
+    def main(body):
+        return [t for state, t in html_text.page_blocks(body) if state == "main"]
+
+    article = "<article><p>the text of the page</p>{}</article>"
+    teaser = "<div class='related'><article>more to read</article></div>"
+    assert main(article.format(teaser)) == main(article.format("") + teaser) == ["the text of the page"]
+    assert main(f"<div class='with-sidebar'>{article.format('')}{teaser}</div>") == ["the text of the page"]
+    for around in ("nav", "footer", "aside", "form"):
+        assert main(f"<{around}><article>no text</article></{around}>") == []
+    assert main("<div class='comments'><article class='comment'>no text</article><article id='notice-2'>none</article></div>") == []
