@@ -260,3 +260,34 @@ def test_articles_of_widgets_stay_out():
     for around in ("nav", "footer", "aside", "form"):
         assert main(f"<{around}><article>no text</article></{around}>") == []
     assert main("<div class='comments'><article class='comment'>no text</article><article id='notice-2'>none</article></div>") == []
+
+
+def test_copies_of_a_page_count_once(spark):
+    body = "<div>the very same text of more than eight words stands here</div>"
+    assert texts(spark, [page(body)] * 5) == ["the very same text of more than eight words stands here"] * 5
+    # Neither do other blocks around the same tokens make another page of it.
+    split = "<div>the very same text of more than eight</div><div>words stands here</div>"
+    rest = [page(f"<div>nothing but words of number {i} in page {i} of ten</div>") for i in range(10)]
+    assert texts(spark, [page(body), page(split), page(body), *rest])[:3] == ["the very same text of more than eight words stands here"] * 3
+
+
+def test_page_of_nothing_but_boilerplate_keeps_it(spark):
+    a, b = (f"the block named {n} stands on very many pages of this host" for n in "ab")
+    pages = [page(f"<div>{a}</div><div>{b}</div><div>only {i} has these words here {i} {i} {i}</div>") for i in range(4)]
+    got = texts(spark, [*pages, page(f"<div>{a}</div>"), page(f"<div>{b}</div><div>{a}</div>")])
+    assert got == [*(f"only {i} has these words here {i} {i} {i}" for i in range(4)), a, f"{b} {a}"]
+
+
+@pytest.mark.parametrize("n, group_pages", [(40, 1000), (120, 1000), (120, 7), (120, 1)])
+def test_verdict_does_not_change_with_host_size_or_groups(spark, n, group_pages):
+    side = "this block beside the text stands on only five pages of the host"
+    rows = [
+        (i, f"http://host.example/{i}", page((f"<div>{side}</div>" if i % 8 == 0 and i < 40 else "") + f"<div>page {i} says {i} times that it is {i} and {i}</div>")[1])
+        for i in range(n)
+    ]
+    rows += rows[:3] + [(None, "http://host.example/x", page(f"<article>{side} too</article>")[1])]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = html_text.extract_text(frame, group_pages=group_pages).collect()
+    want = [(i, f"page {i} says {i} times that it is {i} and {i}") for i in [*range(n), 0, 1, 2]]
+    assert sorted((r["page_id"], r["text"]) for r in got if r["page_id"] is not None) == sorted(want)
+    assert [r["text"] for r in got if r["page_id"] is None] == [f"{side} too"]
