@@ -3,7 +3,7 @@
 Three shapes are matched as they are written: assignments to a secret's name,
 access keys, hexadecimal runs. Besides them every long run of token characters
 goes through a battery of tests for randomness in its inferred encoding
-(hexadecimal, base 32, base 64):
+(hexadecimal, base 32, 36, 62 or 64), and if it fits none, its parts do:
 
 * chi-squared: do the encoding's symbols occur equally often?
 * runs: are values above and below the middle as mixed as chance has them?
@@ -39,10 +39,16 @@ TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 # The alphabets tokens are held against, smallest first.
 ENCODINGS = {
     "hex": (r"^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
-    "base32": (r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567"),
+    "base32": (r"^(?:[A-Z2-7]+|[a-z2-7]+)$", "abcdefghijklmnopqrstuvwxyz234567"),
+    "base36": (r"^(?:[A-Z0-9]+|[a-z0-9]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    "base62": (r"^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     "base64": (r"^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     "base64url": (r"^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 }
+# Encodings in capitals or small letters alone, which mean the same.
+FOLDED = ("hex", "base32", "base36")
+# What a token that fits no encoding is cut into.
+PARTS = [r"[A-Za-z0-9_-]{20,}={0,2}", r"[A-Za-z0-9+/]{20,}={0,2}", r"[A-Za-z0-9]{20,}={0,2}"]
 # How often neighbouring characters of words and names change their class.
 CHANGES = 0.15
 BINS = 400
@@ -104,7 +110,7 @@ def battery(tokens: DataFrame, token: str = "match") -> DataFrame:
         fits = core.rlike(pattern)
         encoding = F.when(fits, name).otherwise(encoding)
         alphabet = F.when(fits, letters).otherwise(alphabet)
-        folded = F.lower(core) if name in ("hex", "base32") else core
+        folded = F.lower(core) if name in FOLDED else core
         symbols = F.when(fits, folded).otherwise(symbols)
     with_letters = tokens.select("*", encoding.alias("encoding"), alphabet.alias("_alphabet"), symbols.alias("_core"))
     chars = F.filter(F.split("_core", ""), lambda c: c != "")
@@ -161,13 +167,48 @@ def discovery_bin(judged: DataFrame, fdr: float) -> int:
     return least
 
 
+def parted(tokens: DataFrame) -> DataFrame:
+    """Tokens with ``token`` (where the match starts) and ``cut``. Those that
+    hold '/' or '+' besides '-' or '_' fit no encoding: their parts of 20
+    characters and more stand for them, once for each way to cut."""
+    mixed = F.col("match").rlike("[+/]") & F.col("match").rlike("[_-]")
+    columns = [ID, ROW, "kind", "start", "end", "match", "token", "cut"]
+    per_cut = F.array(*[F.struct(F.lit(c).alias("cut"), _found(pattern, F.col("match")).alias("found")) for c, pattern in enumerate(PARTS)])
+    so_far = Window.partitionBy(ID, ROW, "token", "cut").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = (
+        tokens.filter(mixed)
+        .select(ID, ROW, "kind", F.col("start").alias("token"), F.explode(per_cut).alias("k"))
+        .select(ID, ROW, "kind", "token", "k.cut", F.posexplode("k.found").alias("n", "m"))
+        .select(ID, ROW, "kind", "token", "cut", "n", F.char_length("m.gap").alias("gap"), F.col("m.match").alias("match"))
+        .withColumn("end", F.col("token") + F.sum(F.col("gap").cast("bigint") + F.char_length("match")).over(so_far))
+        .withColumn("start", F.col("end") - F.char_length("match"))
+    )
+    entire = tokens.filter(~mixed).select("*", F.col("start").alias("token"), F.lit(0).alias("cut"))
+    return entire.select(*columns).unionByName(parts.select(*columns).dropDuplicates([ID, ROW, "start", "end"]))
+
+
+def apart(accepted: DataFrame) -> DataFrame:
+    """Of accepted parts of a token that overlap, the one least like a word;
+    words beside a key add little, so a part without separators comes first
+    unless another has a quarter more evidence."""
+    evidence = F.log(F.greatest(F.col("p_written"), F.lit(math.ulp(0.0)))) * F.when(F.col("match").rlike("[/+_-]"), 1.0).otherwise(1.25)
+    part = F.struct(evidence.alias("order"), (F.col("start") - F.col("end")).alias("size"), "start", "end")
+    none = F.array().cast("array<struct<order:double,size:bigint,start:bigint,end:bigint>>")
+    taken = F.aggregate(
+        F.array_sort(F.collect_list(part)),
+        none,
+        lambda held, p: F.when(F.exists(held, lambda h: (h["start"] < p["end"]) & (p["start"] < h["end"])), held).otherwise(F.concat(held, F.array(p))),
+    )
+    return accepted.groupBy(ID, ROW, "kind", "token").agg(taken.alias("taken")).select(ID, ROW, "kind", F.inline("taken")).drop("order", "size")
+
+
 def random_tokens(tokens: DataFrame, alpha: float = 1e-3, fdr: float = 0.01) -> DataFrame:
-    judged = battery(tokens).filter(F.col("encoding").isNotNull())
+    judged = battery(parted(tokens)).filter(F.col("encoding").isNotNull())
     passed = (F.col("p_uniform") >= alpha) & (F.col("p_runs") >= alpha) & (F.col("p_serial") >= alpha)
     judged = judged.withColumn(
         "bin", F.least(F.lit(BINS), F.floor(-F.log10(F.greatest(F.col("p_written"), F.lit(math.ulp(0.0))))).cast("int"))
     )
-    return judged.filter(passed & (F.col("bin") >= discovery_bin(judged, fdr)))
+    return apart(judged.filter(passed & (F.col("bin") >= discovery_bin(judged, fdr))))
 
 
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", alpha: float = 1e-3, fdr: float = 0.01) -> DataFrame:

@@ -291,3 +291,37 @@ def test_verdict_does_not_change_with_host_size_or_groups(spark, n, group_pages)
     want = [(i, f"page {i} says {i} times that it is {i} and {i}") for i in [*range(n), 0, 1, 2]]
     assert sorted((r["page_id"], r["text"]) for r in got if r["page_id"] is not None) == sorted(want)
     assert [r["text"] for r in got if r["page_id"] is None] == [f"{side} too"]
+
+
+SMALL, CAPITAL, DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+@pytest.mark.parametrize("alphabet", [SMALL + DIGIT, CAPITAL + DIGIT, SMALL + "234567", CAPITAL + "234567", SMALL + CAPITAL + DIGIT])
+def test_battery_passes_keys_over_part_of_the_letters(spark, alphabet):
+    rng = np.random.default_rng(11)
+    keys = [("".join(rng.choice(list(alphabet), n)),) for n in (32, 48, 64, 96, 128) for _ in range(40)]
+    judged = secrets.battery(spark.createDataFrame(keys, "match string")).collect()
+    assert sum(min(r["p_uniform"], r["p_runs"], r["p_serial"]) < 1e-3 for r in judged) <= 2
+
+
+def test_planted_keys_of_small_letters_and_digits(spark):
+    rng = np.random.default_rng(12)
+    keys = ["".join(rng.choice(list(a), n)) for a in (SMALL + DIGIT, CAPITAL + DIGIT, SMALL + CAPITAL + DIGIT) for n in (32, 64, 100, 128) for _ in range(10)]
+    got = {r["doc_id"]: r for r in secrets.scan_secrets(framed(spark, [(i, f"key {k} end") for i, k in enumerate(keys)])).collect()}
+    found = [[(s["start"], s["end"]) for s in got[i]["spans"] if s["kind"] == 3] == [(4, 4 + len(k))] for i, k in enumerate(keys)]
+    assert sum(found[i] for i, k in enumerate(keys) if len(k) >= 64) >= 85 and sum(found) >= 95
+
+
+def test_keys_inside_tokens_that_fit_no_encoding(spark):
+    dashed = "q7Zp2Lx9-Vb4Nw8Rt1_Kd6Ym3Hs5Jc0Gf7Ta2Ue9"
+    slashed = "q7Zp2Lx9/Vb4Nw8Rt1+Kd6Ym3Hs5Jc0Gf7Ta2Ue9"
+    texts = [
+        f"see /shared-files/{SECRET}/the-name ok", f"é /a/{dashed}/b", f"of-{slashed}-and_more", f"é👍 /x-y/{SECRET}/z-z/{SECRET}==",
+        "/usr/local/share/some-documentation_index/of-many-words", f"/shared-files/{SECRET[:19]}/the-name",
+    ]
+    want = [[SECRET], [dashed], [slashed], [SECRET, SECRET + "=="], [], []]
+    docs = [*enumerate(texts), (0, texts[0]), (None, texts[0])]
+    for r in secrets.scan_secrets(framed(spark, docs)).collect():
+        text = texts[r["doc_id"] or 0]
+        assert [text[s["start"] : s["end"]] for s in r["spans"] if s["kind"] == 3] == want[r["doc_id"] or 0]
+        assert r["n_random"] == len(want[r["doc_id"] or 0])
