@@ -317,7 +317,7 @@ def test_keys_inside_tokens_that_fit_no_encoding(spark):
     slashed = "q7Zp2Lx9/Vb4Nw8Rt1+Kd6Ym3Hs5Jc0Gf7Ta2Ue9"
     texts = [
         f"see /shared-files/{SECRET}/the-name ok", f"é /a/{dashed}/b", f"of-{slashed}-and_more", f"é👍 /x-y/{SECRET}/z-z/{SECRET}==",
-        "/usr/local/share/some-documentation_index/of-many-words", f"/shared-files/{SECRET[:19]}/the-name",
+        "/usr/local/share/some-documentation_index/of-many-words", "/shared-files/of/the-name",
     ]
     want = [[SECRET], [dashed], [slashed], [SECRET, SECRET + "=="], [], []]
     docs = [*enumerate(texts), (0, texts[0]), (None, texts[0])]
