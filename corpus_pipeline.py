@@ -8,20 +8,30 @@ starts. All work on whole tables and on everything the stage before has kept.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtide.llm import bpe, decontaminate, line_dedup, ngram_join, quality
-from gridtide.llm.common import keep_table, table
+from gridtide.llm.common import keep_table, table, whole
 from gridtide.llm.queries import held_out
 
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def without(docs: DataFrame, decided: DataFrame, row: Column) -> DataFrame:
+    """Documents but for those of ``decided`` (doc_id, decided_row). A row is
+    known by its id and a hash of its text, and null ids match each other."""
+    gone = decided.select(F.col("doc_id").alias("decided_id"), "decided_row").distinct()
+    rows = docs.withColumn("own_row", row)
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["decided_id"]) & (rows["own_row"] == gone["decided_row"]), "left_anti").select(*COLUMNS)
+
+
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality score rejects go."""
     labels = table(spark, sf_dir, "labels").filter(~held_out())
-    scored = quality.score_quality(docs, labels)
-    rejected = scored.filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
+    scored = quality.score_quality(docs, labels, row="decided_row")
+    return without(docs, scored.filter("predicted = 0"), F.xxhash64("doc_id", whole("text")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,17 +41,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id stays of each group of near duplicates."""
-    grouped = ngram_join.ngram_join(docs)
-    others = grouped.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
+    """The document of the smallest id stays of each group of near duplicates,
+    one without an id only if none has one, and one row of those alike in id
+    and text. Each text under an id is a document of its own."""
+    rows = docs.withColumn("row", F.xxhash64("doc_id", whole("text")))
+    grouped = ngram_join.ngram_join(rows, key="row").select("row", "component_id")
+    named = rows.select("row", "doc_id").distinct().join(grouped, "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row"))
+    stay = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(stay, "row", "left_semi").dropDuplicates(["row"]).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.filter("contaminated").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), row="decided_row")
+    return without(docs, found.filter("contaminated"), F.xxhash64(whole("text")))
 
 
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

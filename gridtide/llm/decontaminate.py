@@ -143,6 +143,7 @@ def find_contamination(
     item_text: str = "text",
     window: int = 10,
     gram: int = 7,
+    row: str | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: ``key``, ``n_words``, ``n_hit``, ``n_items``,
     ``items`` (ids as sorted strings) and ``contaminated``.
@@ -150,7 +151,8 @@ def find_contamination(
     Words are lower-cased in A-Z. A null or empty text has no words and cannot
     be hit. Items without words are ignored; items without an id hit words but
     are not listed; a repeated item id is listed once. Rows alike in id and
-    text are one row of the result. Other columns are ignored.
+    text are one row of the result. Other columns are ignored. ``row`` names a
+    column to add, the xxhash64 of the text (null as empty).
     """
     rows = identified(docs, key, text).select(ID, ROW, words_of(F.col("_text")).alias("words"))
     items = benchmark.select(F.col(item).cast("string").alias("item"), words_of(whole(item_text)).alias("words"))
@@ -181,6 +183,7 @@ def find_contamination(
         checked = checked.select("*", F.lit(0).alias("n_hit"), none.alias("items"))
     return checked.select(
         F.col(ID).alias(key),
+        *([F.col(ROW).alias(row)] if row else []),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("bigint").alias("n_items"),

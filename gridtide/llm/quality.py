@@ -157,6 +157,7 @@ def score_quality(
     label: str = "quality",
     threshold: float = 0.7,
     sample_rows: int = SAMPLE_ROWS,
+    row: str | None = None,
 ) -> DataFrame:
     """Per row: ``key``, ``score`` and ``predicted`` (1 if the score reaches
     the threshold).
@@ -167,7 +168,8 @@ def score_quality(
     from, chosen by a hash of their id. Both labels have to occur. A null text
     is scored as an empty one, and an empty text by its statistics, which are
     those of no words. Repeated rows come out as often as they go in. Ids are
-    whole numbers. Other columns are ignored.
+    whole numbers. Other columns are ignored. ``row`` names a column to add, the
+    xxhash64 of id and text (null as empty).
     """
     measured = keep_table(document_statistics(docs, key, text), "statistics")
     known = (
@@ -188,5 +190,6 @@ def score_quality(
 
         return pd.Series(model.value.score(np.column_stack([c.to_numpy() for c in columns])))
 
-    scored = measured.select(F.col("_id").alias(key), score(*FEATURES).alias("score"))
+    identity = [F.col("_row").alias(row)] if row else []
+    scored = measured.select(F.col("_id").alias(key), *identity, score(*FEATURES).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

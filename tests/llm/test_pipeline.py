@@ -57,3 +57,26 @@ def test_every_stage_against_brute_force(spark, tables):
 
     whole = {r["doc_id"]: (r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, folder).collect()}
     assert whole == got
+
+
+def test_decisions_hold_for_rows_and_not_for_ids(spark, tables):
+    folder, docs, items = tables
+    held = dict(docs)
+
+    def frame(rows):
+        return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCUMENTS)
+
+    def stage(n, rows):
+        got = corpus_pipeline.STAGES[n][1](spark, frame(rows), folder).collect()
+        return sorted(((r["doc_id"], r["text"]) for r in got), key=str)
+
+    good, other, bad = held[2010], held[2020], held[3002]
+    base = [(i, held[i]) for i in [*range(2000, 2120), *range(3000, 3060)]]
+    kept = stage(0, [*base, (None, bad), (None, good), (9000, bad), (9000, good)])
+    assert (None, bad) not in kept and (9000, bad) not in kept and (None, good) in kept and (9000, good) in kept
+
+    rows = [(7, good), (7, good), (None, good), (8, good), (8, "quite another text of some more words"), (None, other), (None, other)]
+    assert stage(2, rows) == sorted([(7, good), (8, "quite another text of some more words"), (None, other)], key=str)
+
+    hit = "so it is " + items[0][1]
+    assert stage(3, [(None, hit), (None, "clean"), (7, hit), (7, "clean"), (7, "clean")]) == sorted([(None, "clean"), (7, "clean"), (7, "clean")], key=str)
