@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import hourly, rows_of
+from helpers import hourly, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import plan_of, price_record, raw_loads, raw_prices, load_record, rows_of
+from helpers import plan_of, price_record, raw_loads, raw_prices, load_record, rows_of
 from pyspark.sql import functions as F
 
 from gridtide import schemas

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import LOADS, PRICES, load_record, plan_of, price_record, raw_loads, raw_prices, rows_of
+from helpers import LOADS, PRICES, load_record, plan_of, price_record, raw_loads, raw_prices, rows_of
 
 from gridtide import schemas
 from gridtide.operators import clean, grid

@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import hourly
+from helpers import hourly
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 
 import __spark_entry__ as entry_point
 from gridtide.plans.oracles import ORACLES

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import LOADS, PRICES, envelope, plan_of, price_record, rows_of, write_json
+from helpers import LOADS, PRICES, envelope, plan_of, price_record, rows_of, write_json
 
 from gridtide import schemas
 from gridtide.sources import reports

@@ -3,7 +3,7 @@ import os
 from decimal import Decimal
 
 import pytest
-from conftest import (
+from helpers import (
     LOADS,
     PRICES,
     envelope,
