@@ -76,3 +76,46 @@ SELECT pair_id,
                 FILTER (NOT prompt AND side = 'r' AND role = 'assistant'), '') AS rejected_mask
 FROM placed GROUP BY pair_id
 """
+
+ORACLES["op13_source_divergence"] = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           {LOWER} AS text
+    FROM documents
+),
+words AS (
+    SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+),
+kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+),
+counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+),
+langs AS (SELECT lang, sum(n) AS total, count(*) AS terms FROM kept GROUP BY lang),
+groups AS (
+    SELECT lang, source, coalesce(sum(n), 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM texts) LEFT JOIN counts USING (lang, source)
+    GROUP BY ALL
+),
+shares AS (
+    SELECT lang, source, term, coalesce(counts.n, 0) AS n,
+           1 + (1000000000 * (coalesce(counts.n, 0) + 5)::HUGEINT) // (groups.total + 5 * langs.terms) AS p,
+           1 + (1000000000 * (kept.n + 5)::HUGEINT) // (langs.total + 5 * langs.terms) AS q
+    FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+pairs AS (
+    SELECT g.lang, g.source, 'pair' AS part, h.source AS item,
+           coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y USING (lang, term)
+                     WHERE x.lang = g.lang AND x.source = g.source AND y.source = h.source), 0) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (FROM pairs UNION ALL FROM terms)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtide.llm import bpe, decontaminate, exact_dedup, html_text, line_dedup, ngram_join, preference, quality, secrets, substring_dedup
+from gridtide.llm import bpe, decontaminate, exact_dedup, html_text, line_dedup, ngram_join, preference, quality, resample
+from gridtide.llm import secrets, source_audit, substring_dedup, suffix_dedup
 from gridtide.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,5 +84,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

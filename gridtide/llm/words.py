@@ -13,19 +13,24 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+BLOCK_BITS = 16
+BLOCK = 1 << BLOCK_BITS
 # Odd multipliers of the two hash families.
 FAMILIES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 @lru_cache(maxsize=8)
-def _powers(base: int, log_size: int) -> np.ndarray:
-    powers = np.full(1 << log_size, base, dtype=np.uint64)
+def _powers(base: int) -> np.ndarray:
+    powers = np.full(BLOCK, base, dtype=np.uint64)
     powers[0] = 1
     return np.cumprod(powers, dtype=np.uint64)
 
 
-def powers(base: int, size: int) -> np.ndarray:
-    return _powers(base, max(16, int(size).bit_length()))[:size]
+def powers_at(base: int, places: np.ndarray) -> np.ndarray:
+    """base ** place, from a table of one block and a power for each block."""
+    blocks = np.full((int(places.max()) >> BLOCK_BITS) + 1 if len(places) else 1, pow(base, BLOCK, 1 << 64), dtype=np.uint64)
+    blocks[0] = 1
+    return _powers(base)[places & (BLOCK - 1)] * np.cumprod(blocks, dtype=np.uint64)[places >> BLOCK_BITS]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -38,10 +43,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int) -> np.ndarray:
     """A hash of values[start:end] for each pair, from one running sum."""
     base = FAMILIES[family]
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(base, len(values)), out=total[1:])
-    inverse = powers(pow(base, -1, 1 << 64), len(values) + 1)
-    return mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    total, step, weight = np.zeros(len(values) + 1, dtype=np.uint64), pow(base, BLOCK, 1 << 64), 1
+    for at in range(0, len(values), BLOCK):
+        part = values[at : at + BLOCK].astype(np.uint64)
+        up_to = total[at + 1 : at + 1 + len(part)]
+        np.cumsum(part * (_powers(base)[: len(part)] * np.uint64(weight)), out=up_to)
+        up_to += total[at]
+        weight = weight * step % (1 << 64)
+    inverse = powers_at(pow(base, -1, 1 << 64), starts)
+    return mixed((total[ends] - total[starts]) * inverse + (ends - starts).astype(np.uint64))
 
 
 class Slice:
@@ -71,7 +81,7 @@ class Slice:
 
     def word_hashes(self, family: int = 0) -> np.ndarray:
         if family not in self._hashes:
-            values = self.data.astype(np.uint64) + np.uint64(1)
+            values = self.data.astype(np.uint16) + np.uint16(1)
             self._hashes[family] = range_hashes(values, self.starts, self.ends, family)
         return self._hashes[family]
 

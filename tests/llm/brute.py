@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import re
+import zlib
 
 SPACE_WORD = re.compile("[^\x20\x09-\x0d]+")
 ITEM_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -104,3 +106,63 @@ def base_spans(text):
     spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
     spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     return sorted(spans)
+
+
+def suffix_dedup(docs, length):
+    texts = [(i, (t or "").encode()) for i, t in docs]
+    seen = collections.Counter(b[a : a + length] for _, b in texts for a in range(len(b) - length + 1))
+    out = []
+    for i, b in texts:
+        gone = [False] * len(b)
+        for a in range(len(b) - length + 1):
+            if seen[b[a : a + length]] > 1:
+                gone[a : a + length] = [True] * length
+        spans = sum(g and (at == 0 or not gone[at - 1]) for at, g in enumerate(gone))
+        out.append((i, len(b), sum(gone), spans, sha(bytes(c for c, g in zip(b, gone, strict=True) if not g))))
+    return sorted(out, key=str)
+
+
+def resample(docs, items, percent=5, min_words=20, buckets=10_000, seed=42):
+    def features(text):
+        words = ITEM_WORD.findall(low(text or ""))
+        runs = [" ".join(words[a : a + n]) for n in (1, 2, 3) for a in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    held = [(i, *features(t)) for i, t in docs]
+    s, t = collections.Counter(b for _, _, f in held for b in f), collections.Counter(b for x in items for b in features(x)[1])
+    of = (sum(s.values()) + buckets) / (sum(t.values()) + buckets)
+    gains = {b: math.floor(1000 * math.log((t[b] + 1) * of / (s[b] + 1))) for b in s}
+    rows = []
+    for i, n_words, f in held:
+        h = int(sha(f"{seed}:{'' if i is None else i}")[:8], 16)
+        weight = sum(gains[b] for b in f)
+        rows.append((n_words, i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))))
+    able = sorted((r for r in rows if r[0] >= min_words), key=lambda r: (-r[4], r[1] is None, r[1] or 0, r[2]))
+    n = percent * len(able) // 100
+    drawn = [(*r[1:], rank) for rank, r in enumerate(able[:n], 1)]
+    return sorted(drawn + [(*r[1:], None) for r in able[n:] + [r for r in rows if r[0] < min_words]], key=str)
+
+
+def audit_sources(rows, min_docs=30, top=50):
+    """Rows of (text, lang, source)."""
+    rows = [tuple(v or "" for v in r) for r in rows]
+    words = [(re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", low(t)), lang, source) for t, lang, source in rows]
+    out = []
+    for lang in {r[1] for r in rows}:
+        docs = collections.Counter(w for t, g, _ in words if g == lang for w in set(t))
+        kept = sorted(w for w, n in docs.items() if n >= min_docs)
+        counts = {s: collections.Counter() for _, g, s in rows if g == lang}
+        for t, g, s in words:
+            if g == lang:
+                counts[s].update(w for w in t if docs[w] >= min_docs)
+
+        def shares(c, kept=kept):
+            return [1 + 10**9 * (c[w] + 5) // (sum(c.values()) + 5 * len(kept)) for w in kept]
+
+        p, q = {s: shares(c) for s, c in counts.items()}, shares(sum(counts.values(), collections.Counter()))
+        for s in counts:
+            pairs = [(-sum(abs(a - b) for a, b in zip(p[s], p[x], strict=True)), x.encode(), x) for x in counts if x != s]
+            terms = [(y - x, w.encode(), w) for x, y, w in zip(p[s], q, kept, strict=True) if counts[s][w] and x > y]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, w, -v, n) for n, (v, _, w) in enumerate(found, 1)]
+    return sorted(out)
