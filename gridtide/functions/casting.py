@@ -56,13 +56,15 @@ def to_int(c: Column | str) -> Column:
     return F.when(c.rlike(PLAIN_NUMERAL), c).try_cast("double").try_cast("int")
 
 
-def to_money(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
+def to_money(c: Column | str, precision: int = 10, scale: int = 2, exact: bool = False) -> Column:
     """Coerce to a fixed-scale number: ties round away from zero and a value
     that does not fit fails the job, as storing it in such a column would. A
-    number that is none (the text NaN parses as one) is NULL."""
+    number that is none (the text NaN parses as one) is NULL; values said to be
+    ``exact`` (decimals and whole numbers) cannot be one and are not tested."""
     kind = f"decimal({precision},{scale})"
     c = as_column(c)
-    c = F.when(~F.isnan(c.try_cast("double")), c)
+    if not exact:
+        c = F.when(~F.isnan(c.try_cast("double")), c)
     coerced = c.try_cast(kind)
     message = F.concat(F.lit(f"value out of range for {kind}: "), c.cast("string"))
     return F.when(c.isNotNull() & coerced.isNull(), F.raise_error(message)).otherwise(coerced)

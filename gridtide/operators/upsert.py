@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide import schemas
 from gridtide.functions import casting
@@ -57,11 +58,12 @@ def stamp_audit(batch: DataFrame, as_of=None) -> DataFrame:
 
 def coerce(df: DataFrame, layout) -> DataFrame:
     """Table column order and types. Numbers that do not fit fail the job."""
+    exact = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType | T.IntegralType)}
 
     def fit(field) -> Column:
         kind = field.dataType
         if kind.typeName() == "decimal":
-            return casting.to_money(field.name, kind.precision, kind.scale).alias(field.name)
+            return casting.to_money(field.name, kind.precision, kind.scale, field.name in exact).alias(field.name)
         return F.col(field.name).cast(kind).alias(field.name)
 
     return df.select(*[fit(f) for f in layout.fields])
@@ -145,6 +147,14 @@ def check_constraints(
     return by_part
 
 
+def not_older(batch: DataFrame, written: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
+    """Rows of a batch whose key was not written from a later date before. A
+    row without a date counts as older than any with one."""
+    last = written.select(*keys, F.col(date).alias("_last"))
+    joined = batch.join(last, list(keys), "left")
+    return joined.filter(F.col("_last").isNull() | (F.col(date) >= F.col("_last"))).drop("_last")
+
+
 def load_verification(table: DataFrame, batch: DataFrame, run_id: str, keys: Sequence[str] = (schemas.LOCAL_HOUR,)) -> DataFrame:
     """One row: rows the run left in the table, keys the batch brought, and
     whether the two agree."""

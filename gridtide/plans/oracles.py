@@ -227,6 +227,12 @@ def _corrected(value: str, one: str) -> str:
     return f"CASE WHEN later THEN CASE WHEN hour(h) % 5 <> 0 THEN {value} + {one} END ELSE {value} END"
 
 
+def _lines(per: str, start: str, name: str, more: str = "") -> str:
+    return f"""SELECT l_shipdate, l_orderkey, l_linenumber, l_returnflag AS market, l_extendedprice AS price, {more}
+  sum(CAST(round(l_extendedprice * 100) AS BIGINT)) OVER w / 100.0 AS {name}
+FROM lineitem WINDOW w AS ({per} ORDER BY l_shipdate, l_orderkey, l_linenumber, l_returnflag, l_extendedprice ROWS BETWEEN {start} AND CURRENT ROW)"""
+
+
 ORACLES: dict[str, str] = {
     "hourly_grid_full_outer": _with(PRICE, LOAD, GRID) + f"SELECT h AS begin_datetime_mpt, {GRID_COLUMNS} FROM grid",
     "hourly_grid_guarded": _with(PRICE, LOAD, GRID) + f"SELECT h AS begin_datetime_mpt, {GRID_COLUMNS} FROM grid",
@@ -341,4 +347,13 @@ SELECT (SELECT count(*) FROM batch) AS n_rows, (SELECT count(*) FROM keyed) AS n
   (SELECT count(*) FROM batch WHERE u IS NULL) AS null_required_rows""",
     "stored_hourly_grid": UPSERTED_HOURLY,
     "stored_daily_agg": REFRESHED_DAILY,
+    "stateful_daily_refresh": REFRESHED_DAILY,
+    "delta_hourly_grid": UPSERTED_HOURLY,
+    "delta_daily_agg": REFRESHED_DAILY,
+    "compacted_hourly_grid": UPSERTED_HOURLY,
+    "live_hourly_grid": UPSERTED_HOURLY,
+    "running_total_lines": _lines("", "UNBOUNDED PRECEDING", "running_price"),
+    "running_total_lines_by_market": _lines("PARTITION BY l_returnflag", "UNBOUNDED PRECEDING", "running_price"),
+    "rolling_10_lines": _lines("", "9 PRECEDING", "rolling_price", "count(*) OVER w AS rolling_rows,"),
+    "rolling_10_lines_by_market": _lines("PARTITION BY l_returnflag", "9 PRECEDING", "rolling_price", "count(*) OVER w AS rolling_rows,"),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridtide import schemas
 from gridtide.functions import casting
-from gridtide.operators import arbitrage, clean, daily, grid, refresh, upsert
+from gridtide.operators import arbitrage, clean, daily, daily_state, grid, ranges, refresh, upsert
 from gridtide.plans import driver_tables as dtab
 from gridtide.plans import views
 from gridtide.session import shared_folder
@@ -355,7 +355,7 @@ def duplicate_hours(spark, sf):
 def numeric_coercion(spark, sf):
     line = dtab.table(spark, sf, "lineitem")
     exact = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")
-    return line.select("l_orderkey", "l_linenumber", casting.to_money(exact).alias("discount_amount"))
+    return line.select("l_orderkey", "l_linenumber", casting.to_money(exact, exact=True).alias("discount_amount"))
 
 
 @query
@@ -447,11 +447,27 @@ def constraint_report(spark, sf):
     return upsert.constraint_report(batch, ["market", schemas.UTC_HOUR], ["user_id"])
 
 
-def _two_loads(spark, sf) -> tables.MarketStore:
-    """A new store in the shared folder after the base and the later batch."""
-    store = tables.MarketStore(spark, shared_folder(spark, f"gridtide-store-{uuid.uuid4()}"))
+@query
+def stateful_daily_refresh(spark, sf):
+    """The daily table after a batch, from states that follow its corrections."""
+    base, batch = _hourly_pair(spark, sf)
+    state, keys = daily_state.daily_state(base), [schemas.LOCAL_HOUR]
+    after = daily_state.follow(state, base.join(batch.select(*keys), keys, "left_semi"), batch, upsert.upsert_hourly(base, batch))
+    changed = after.join(refresh.batch_dates(batch), daily.GRID_DATE, "left_semi")
+    rest = [c for c in schemas.DAILY_GRID.names if c != daily.GRID_DATE]
+    before = daily_state.figures(state, computed_at=dtab.BASE_TIME)
+    return upsert.upsert(before, daily_state.figures(changed, computed_at=dtab.BATCH_TIME), [daily.GRID_DATE], rest)
+
+
+def _base_and_later(spark, sf) -> tuple[DataFrame, DataFrame]:
     base = dtab.grid_feed(spark, sf, last=dtab.BASE_LAST_DAY)
-    later = dtab.corrected(dtab.grid_feed(spark, sf, first=dtab.BATCH_FIRST_DAY), schemas.LOCAL_HOUR, "pool_price")
+    return base, dtab.corrected(dtab.grid_feed(spark, sf, first=dtab.BATCH_FIRST_DAY), schemas.LOCAL_HOUR, "pool_price")
+
+
+def _two_loads(spark, sf, deltas: bool = False) -> tables.MarketStore:
+    """A new store in the shared folder after the base and the later batch."""
+    store = tables.MarketStore(spark, shared_folder(spark, f"gridtide-store-{uuid.uuid4()}"), deltas=deltas)
+    base, later = _base_and_later(spark, sf)
     store.load_hourly(base, dtab.BASE_RUN, dtab.BASE_TIME)
     store.load_hourly(later, dtab.BATCH_RUN, dtab.BATCH_TIME)
     return store
@@ -465,3 +481,69 @@ def stored_hourly_grid(spark, sf):
 @query
 def stored_daily_agg(spark, sf):
     return _two_loads(spark, sf).read(tables.DAILY)
+
+
+@query
+def delta_hourly_grid(spark, sf):
+    return _two_loads(spark, sf, deltas=True).read(tables.HOURLY)
+
+
+@query
+def delta_daily_agg(spark, sf):
+    return _two_loads(spark, sf, deltas=True).read(tables.DAILY)
+
+
+@query
+def compacted_hourly_grid(spark, sf):
+    store = _two_loads(spark, sf, deltas=True)
+    store.compact(tables.HOURLY)
+    return store.read(tables.HOURLY)
+
+
+@query
+def live_hourly_grid(spark, sf):
+    """Read through views that were registered before the later load."""
+    store = tables.MarketStore(spark, shared_folder(spark, f"gridtide-store-{uuid.uuid4()}"), deltas=True)
+    base, later = _base_and_later(spark, sf)
+    store.load_hourly(base, dtab.BASE_RUN, dtab.BASE_TIME)
+    shown = views.LiveViews(store)
+    shown.refresh()
+    store.load_hourly(later, dtab.BATCH_RUN, dtab.BATCH_TIME)
+    return shown.sql(f"SELECT {', '.join(schemas.HOURLY_GRID.names)} FROM raw_hourly_grid")
+
+
+# -- figures over rows, in ranges ------------------------------------------
+
+
+def _lines(spark, sf) -> DataFrame:
+    """Line items in the order of their shipment, as one long series."""
+    line = dtab.table(spark, sf, "lineitem")
+    return line.select(
+        "l_shipdate", "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("market"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+    )
+
+
+# Orders and lines repeat in the table; rows alike in all of these are the same row.
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "market", "price"]
+
+
+@query
+def running_total_lines(spark, sf):
+    return ranges.running_total(_lines(spark, sf), "price", LINE_ORDER, "running_price")
+
+
+@query
+def running_total_lines_by_market(spark, sf):
+    return ranges.running_total(_lines(spark, sf), "price", LINE_ORDER, "running_price", MARKET)
+
+
+@query
+def rolling_10_lines(spark, sf):
+    return ranges.rolling(_lines(spark, sf), {"rolling_price": F.sum("price"), "rolling_rows": F.count("*")}, LINE_ORDER, schemas.ROLLING_ROWS)
+
+
+@query
+def rolling_10_lines_by_market(spark, sf):
+    figures = {"rolling_price": F.sum("price"), "rolling_rows": F.count("*")}
+    return ranges.rolling(_lines(spark, sf), figures, LINE_ORDER, schemas.ROLLING_ROWS, MARKET)

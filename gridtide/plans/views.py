@@ -75,3 +75,26 @@ def register_store(store: tables.MarketStore) -> list[str]:
     on it opens only that date's files."""
     frames = [store.read(t, with_part=True) for t in (tables.HOURLY, tables.DAILY, tables.SILVER_PRICE, tables.SILVER_LOAD)]
     return register(*frames, series=store.series)
+
+
+class LiveViews:
+    """The same names, current under every query: the commit log is looked at
+    first, and the views are put in place again if anything was published,
+    by whatever session. SQL that filters on ``part`` opens only that date's
+    files, as with ``register_store``."""
+
+    def __init__(self, store: tables.MarketStore):
+        self.store, self.shown = store, None
+
+    def refresh(self) -> bool:
+        """Whether there was anything new."""
+        live = self.store.live()
+        if live == self.shown:
+            return False
+        register_store(self.store)
+        self.shown = live
+        return True
+
+    def sql(self, query: str) -> DataFrame:
+        self.refresh()
+        return self.store.spark.sql(query)

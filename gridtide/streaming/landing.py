@@ -3,27 +3,21 @@
 The scheduled load as a stream: each run takes the files that arrived since
 the last one, cleans them and upserts them. Which report of an hour counts does
 not depend on how files fall into micro-batches: the one with the newest
-landing date does. What date an hour was last written from is kept beside the
-store, and rows of older files that arrive later are left out. A micro-batch
-replayed after a failure writes the same values again, with a new time of
-change.
+landing date does. What date an hour was last written from is a table of the
+store, published in one commit with the hour itself, and rows of older files
+that arrive later are left out. A batch reads the dates of its own days only.
+Wherever a run stops, hours and dates agree; a micro-batch replayed after a
+failure writes the same values again, with a new time of change.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gridtide import schemas
 from gridtide.plans.feeds import Feed
 from gridtide.sources import reports, tables
-from gridtide.sources.datasets import path_exists
-
-WRITTEN = T.StructType([T.StructField(schemas.UTC_HOUR, T.TimestampNTZType()), T.StructField(reports.LANDED_ON, T.DateType())])
 
 
 def landed_reports(spark: SparkSession, folder: str, feed: Feed, files_per_batch: int = 1000) -> DataFrame:
@@ -42,33 +36,22 @@ def landed_reports(spark: SparkSession, folder: str, feed: Feed, files_per_batch
     return reports.flatten(docs, records, feed.record, keep=[reports.LANDED_ON])
 
 
-def not_older(batch: DataFrame, written: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a batch whose hour was not written from a newer file before. A
-    file without a date in its name counts as older than any with one."""
-    last = written.groupBy(*keys).agg(F.max(reports.LANDED_ON).alias("_last"))
-    joined = batch.join(last, list(keys), "left")
-    return joined.filter(F.col("_last").isNull() | (F.col(reports.LANDED_ON) >= F.col("_last"))).drop("_last")
-
-
-def follow(spark: SparkSession, folder: str, feed: Feed, store: str, checkpoint: str, **kwargs) -> StreamingQuery:
+def follow(
+    spark: SparkSession, folder: str, feed: Feed, store: str, checkpoint: str, deltas: bool = False, **kwargs
+) -> StreamingQuery:
     """Load everything that has landed and not been loaded yet, then stop.
 
     Of all files that report an hour the one with the newest landing date wins,
     in whatever order and batches they come. ``checkpoint`` has to be on
-    storage that outlives the cluster.
+    storage that outlives the cluster. With ``deltas`` a batch writes its own
+    rows only, see ``gridtide.sources.tables``.
     """
-    log = f"{store.rstrip('/')}/written/{feed.table.name}"
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        cleaned = feed.by_utc_hour(batch, keep=[], prefer=[reports.LANDED_ON], with_preferred=True)
-        if path_exists(session, log):
-            cleaned = not_older(cleaned, session.read.schema(WRITTEN).parquet(log), [schemas.UTC_HOUR])
-        # Read for its dates, merged, and logged, so keep it rather than parse again.
-        cleaned = cleaned.persist()
+        # Read for its dates, merged, and written as marks, so keep it rather than parse again.
+        cleaned = feed.by_utc_hour(batch, keep=[], prefer=[reports.LANDED_ON], with_preferred=True).persist()
         try:
-            tables.MarketStore(session, store).load_silver(feed.table, cleaned.drop(reports.LANDED_ON))
-            cleaned.select(*WRITTEN.names).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+            tables.MarketStore(batch.sparkSession, store, deltas=deltas).load_landed(feed.table, cleaned)
         finally:
             cleaned.unpersist()
 

@@ -15,7 +15,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-WRITES = {"stored_hourly_grid", "stored_daily_agg"}
+WRITES = {"stored_hourly_grid", "stored_daily_agg", "delta_hourly_grid", "delta_daily_agg", "compacted_hourly_grid", "live_hourly_grid"}
 QUERIES = registered()
 
 

@@ -290,6 +290,38 @@ def test_the_newest_landing_date_wins_whatever_the_batches(spark, tmp_path, file
     assert [p for _, p in prices] == [D("222.00"), D("7.00")]
 
 
+@pytest.mark.parametrize("deltas", [False, True])
+@pytest.mark.parametrize("stop_at", ["check", "publish", "published"])
+def test_a_run_that_stops_anywhere_is_made_good_by_the_next(spark, tmp_path, monkeypatch, stop_at, deltas):
+    raw, root, checkpoint = (str(tmp_path / n) for n in ("raw", "store", "checkpoint"))
+    hour = {"local": "2026-08-01 00:00", "utc": "2026-08-01 06:00"}
+    follow = lambda: landing.follow(spark, raw, PRICE, root, checkpoint, deltas=deltas, files_per_batch=1)
+    land(tmp_path, "2026-08-05", [price_record(price="222", **hour)], [])
+    publish = tables.MarketStore._publish
+
+    def stops(self, *args):
+        if stop_at == "published":
+            publish(self, *args)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        if stop_at == "check":
+            m.setattr(upsert, "check_constraints", lambda *a, **k: stops(None))
+        else:
+            m.setattr(tables.MarketStore, "_publish", stops)
+        with pytest.raises(Exception, match="stopped"):
+            follow().awaitTermination(120)
+    # An older file comes before the replay.
+    land(tmp_path, "2026-08-03", [price_record(price="99", **hour), price_record("2026-08-01 01:00", "7")], [])
+    query = follow()
+    query.awaitTermination(120)
+    assert query.exception() is None
+    store = tables.MarketStore(spark, root)
+    assert rows_of(store.read(tables.SILVER_PRICE).select("pool_price"), "pool_price") == [(D("7.00"),), (D("222.00"),)]
+    dates = store.read(tables.landed(tables.SILVER_PRICE))
+    assert {r.landing_date for r in dates.collect()} == {dt.date(2026, 8, 3), dt.date(2026, 8, 5)}
+
+
 def test_a_second_load_beside_a_first_one_fails(spark, store):
     store.load_hourly(grid(spark, A), "r1", T0)
     store._claim(store.live())  # a load that was killed, or still runs
