@@ -28,10 +28,11 @@ def without(docs: DataFrame, decided: DataFrame, row: Column) -> DataFrame:
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality score rejects go."""
+    """Documents that the quality score rejects go; none do where the labels
+    are too few to learn from."""
     labels = table(spark, sf_dir, "labels").filter(~held_out())
     scored = quality.score_quality(docs, labels, row="decided_row")
-    return without(docs, scored.filter("predicted = 0"), F.xxhash64("doc_id", whole("text")))
+    return without(docs, scored.filter("learnt AND predicted = 0"), F.xxhash64("doc_id", whole("text")))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
