@@ -32,12 +32,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridtide.llm.common import shuffle_width, whole
+from gridtide.llm.words import in_parts
 
-SLICE_BYTES = 8 << 20
+SLICE_CHARS = 4 << 20
 PIECE_CHARS = 4 << 20
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 16
 # A space between two characters of which none is white space, by anyone's
 # definition; and what texts have in which not every space is such a one.
 CUT = regex.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
@@ -115,7 +117,7 @@ def _planes(values: np.ndarray) -> bytes:
 
 
 def _unplanes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
 
 
 def _is_awkward(text: str) -> bool:
@@ -185,9 +187,9 @@ class CutSlice:
 
 def _cut_slices(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[CutSlice]:
     ids, rows, texts, size = [], [], [], 0
-    for batch in batches:
+    for batch in in_parts(batches):
         for i, row, text in zip(*[batch.column(c).to_pylist() for c in ("id", "row", "text")], strict=True):
-            if texts and size + len(text) > SLICE_BYTES:
+            if texts and size + len(text) > SLICE_CHARS:
                 yield CutSlice(ids, rows, texts, buckets)
                 ids, rows, texts, size = [], [], [], 0
             ids.append(i), rows.append(row), texts.append(text)
@@ -259,7 +261,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
         # Two slices of the same documents have one key, and the same words.
         answers = [_unpack(block) for part, block in sorted({part: block for part, block in parts if part >= 0}.items())]
         counts = np.concatenate([np.empty(0, np.int64), *[_unplanes(a[0]) for a in answers]])
-        ids = np.concatenate([np.empty(0, np.int64), *[_unplanes(a[1]) for a in answers if len(a) > 1]]).astype("<u4")
+        ids = np.concatenate([np.empty(0, "<u4"), *[_unplanes(a[1]) for a in answers if len(a) > 1]])
         starts = np.cumsum(counts) - counts
         out_ids, out = [], []
         for _, block in [p for p in parts if p[0] < 0]:
@@ -295,19 +297,20 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "de
         (np.frombuffer(b"".join(tokens), np.uint8), np.fromiter(map(len, tokens), np.int64, len(tokens)))
     )
 
-    @F.pandas_udf("binary")
-    def bytes_of(values):
+    kept = [f for f in encoded.schema.fields if f.name != out]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, sizes = table.value
         starts = np.cumsum(sizes) - sizes
-
-        def one(raw):
-            found = []
-            numbers = np.frombuffer(raw or b"", "<u4")
-            for first in range(0, len(numbers), BATCH_TOKENS):
-                n = numbers[first : first + BATCH_TOKENS]
-                found.append(data[_ragged(starts[n], sizes[n])].tobytes())
-            return b"".join(found)
-
-        return values.map(one)
-
-    return encoded.withColumn(out, bytes_of(F.col(ids)))
+        for batch in in_parts(batches):
+            decoded = []
+            for raw in batch.column(ids).to_pylist():
+                found, numbers = [], np.frombuffer(raw or b"", "<u4")
+                for first in range(0, len(numbers), BATCH_TOKENS):
+                    n = numbers[first : first + BATCH_TOKENS]
+                    found.append(data[_ragged(starts[n], sizes[n])].tobytes())
+                decoded.append(b"".join(found))
+            columns = [batch.column(f.name) for f in kept] + [pa.array(decoded, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in kept], out])
+
+    return encoded.mapInArrow(rows, T.StructType([*kept, T.StructField(out, T.BinaryType())]))

@@ -96,6 +96,14 @@ class Slice:
         return range_hashes(self.word_hashes(family), at, at + length, family)
 
 
+def in_parts(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of at most that many rows: what a batch holds as Arrow data
+    should not all be Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def in_slices(
     batches: Iterable[pa.RecordBatch], extra: str | None = None, limit: int = SLICE_BYTES, unique: bool = True
 ) -> Iterator[tuple]:
@@ -103,7 +111,7 @@ def in_slices(
     of bytes; a longer document is a slice of its own. With ``unique``
     documents of a slice stand in the order of (id, row), each pair once."""
     held, size = [], 0
-    for batch in batches:
+    for batch in in_parts(batches):
         columns = [batch.column(c).to_pylist() for c in ("_id", "_row", "_text", *([extra] if extra else []))]
         for values in zip(*columns, strict=True):
             if held and size + len(values[2]) > limit:
