@@ -159,14 +159,16 @@ def score_quality(
     sample_rows: int = SAMPLE_ROWS,
     row: str | None = None,
 ) -> DataFrame:
-    """Per row: ``key``, ``score`` and ``predicted`` (1 if the score reaches
-    the threshold).
+    """Per row: ``key``, ``score``, ``predicted`` (1 if the score reaches the
+    threshold) and ``learnt`` (whether the score tells documents apart).
 
     ``labels`` has the rows to learn from: ``key`` and a label of 0 or 1; rows
     with another label, or none, are left out, and of several labels for one id
     the least counts. At most ``sample_rows`` labelled documents are learnt
-    from, chosen by a hash of their id. Both labels have to occur. A null text
-    is scored as an empty one, and an empty text by its statistics, which are
+    from, chosen by a hash of their id. Unless both labels occur among them
+    nothing tells documents apart, and all get the share of label 1, counted
+    with one more row of each label: 0.5 without labels. No documents give no
+    rows. A null text is scored as an empty one, and an empty text by its statistics, which are
     those of no words. Repeated rows come out as often as they go in. Ids are
     whole numbers. Other columns are ignored. ``row`` names a column to add, the
     xxhash64 of id and text (null as empty).
@@ -182,7 +184,13 @@ def score_quality(
         .select("_label", *FEATURES)
         .toPandas()
     )
-    model = docs.sparkSession.sparkContext.broadcast(Discriminant.fit(sample[FEATURES].to_numpy(), sample["_label"].to_numpy()))
+    identity = [F.col("_row").alias(row)] if row else []
+    found = measured.select(F.col("_id").alias(key), *identity, *FEATURES)
+    labelled = sample["_label"].to_numpy()
+    if set(labelled) != {0, 1}:
+        prior = F.lit((labelled.sum() + 1) / (len(labelled) + 2)).cast("double")
+        return _predicted(found.withColumn("score", prior), threshold, False)
+    model = docs.sparkSession.sparkContext.broadcast(Discriminant.fit(sample[FEATURES].to_numpy(), labelled))
 
     @F.pandas_udf("double")
     def score(*columns):
@@ -190,6 +198,9 @@ def score_quality(
 
         return pd.Series(model.value.score(np.column_stack([c.to_numpy() for c in columns])))
 
-    identity = [F.col("_row").alias(row)] if row else []
-    scored = measured.select(F.col("_id").alias(key), *identity, score(*FEATURES).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return _predicted(found.withColumn("score", score(*FEATURES)), threshold, True)
+
+
+def _predicted(scored: DataFrame, threshold: float, learnt: bool) -> DataFrame:
+    predicted = (F.col("score") >= threshold).cast("int")
+    return scored.drop(*FEATURES).withColumns({"predicted": predicted, "learnt": F.lit(learnt)})

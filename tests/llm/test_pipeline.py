@@ -80,3 +80,19 @@ def test_decisions_hold_for_rows_and_not_for_ids(spark, tables):
 
     hit = "so it is " + items[0][1]
     assert stage(3, [(None, hit), (None, "clean"), (7, hit), (7, "clean"), (7, "clean")]) == sorted([(None, "clean"), (7, "clean"), (7, "clean")], key=str)
+
+
+@pytest.mark.parametrize("empty", [("documents",), ("labels",), ("benchmark",), ("documents", "labels", "benchmark")])
+def test_pipeline_over_empty_tables(spark, tables, tmp_path, empty):
+    folder, docs, _ = tables
+    for name in ("documents", "labels", "benchmark"):
+        df = spark.read.parquet(f"{folder}/{name}.parquet")
+        (df.limit(0) if name in empty else df).write.parquet(f"{tmp_path}/some/{name}.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/some").select("doc_id").collect()
+    if "documents" in empty:
+        assert got == []
+    elif "labels" in empty:
+        # Nothing to learn from: no document goes for its quality.
+        assert {2000 + i for i in range(120) if i != 3} - {r["doc_id"] for r in got} == set()
+    else:
+        assert {r["doc_id"] for r in got} >= {2003}

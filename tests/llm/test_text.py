@@ -141,6 +141,17 @@ def test_repeated_rows_and_missing_ids_are_encoded_each(spark, empty_docs, libra
     assert bpe.encode(empty_docs, VOCABULARY, public_tokenizers.PATTERN).collect() == []
 
 
+def test_a_very_long_token_takes_time_in_proportion(spark):
+    import time
+
+    rng = np.random.default_rng(4)
+    noise = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 200_000))
+    docs = framed(spark, [(1, "x" * 300_000), (2, f"data:{noise};"), (3, "plain words")])
+    start = time.perf_counter()
+    got = {r["doc_id"]: r["n_random"] for r in secrets.scan_secrets(docs).collect()}
+    assert got == {1: 0, 2: 1, 3: 0} and time.perf_counter() - start < 90
+
+
 # -- quality ---------------------------------------------------------------
 
 
@@ -167,10 +178,50 @@ def test_quality_of_held_out_rows(spark):
     assert np.mean([predicted[i] == y for i, y in held_out]) > 0.97
 
 
-def test_quality_needs_both_labels(spark, empty_docs):
-    docs, labels, *_ = labelled(spark, 40)
-    with pytest.raises(ValueError):
-        quality.score_quality(docs, labels.filter("quality = 1"))
+@pytest.mark.parametrize("chosen, prior", [("quality = 1", 31 / 32), ("quality = 0", 1 / 13), ("false", 0.5)])
+def test_quality_without_both_labels_is_a_prior(spark, chosen, prior):
+    docs, labels, _, n = labelled(spark, 40)
+    got = quality.score_quality(docs, labels.filter(chosen)).collect()
+    assert len(got) == n and {r["score"] for r in got} == {prior} and not any(r["learnt"] for r in got)
+    assert {r["predicted"] for r in got} == {int(prior >= 0.7)}
+
+
+def test_quality_of_no_documents(spark, empty_docs):
+    _, labels, *_ = labelled(spark, 40)
+    for marks in (labels, labels.limit(0)):
+        got = quality.score_quality(empty_docs, marks)
+        assert got.collect() == [] and got.columns == ["doc_id", "score", "predicted", "learnt"]
+
+
+def test_quality_scores_are_those_of_the_densities():
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(0, 1, (80, 3)), rng.normal(1, 2, (120, 3)) @ np.array([[1, 0.5, 0], [0, 1, 0.2], [0, 0, 1]])])
+    y = np.repeat([0, 1], [80, 120])
+    model = quality.Discriminant.fit(x, y)
+    groups = [x[y == c] for c in (0, 1)]
+    shared = sum((len(g) - 1) * np.cov(g.T) for g in groups) / (len(x) - 2)
+    log_p = []
+    for g in groups:
+        cov = 0.9 * np.cov(g.T) + 0.1 * np.diag(np.diag(np.cov(g.T)))
+        cov = 0.9 * cov + 0.1 * shared + 1e-3 * (np.trace(shared) / 3 + 1e-6) * np.eye(3)
+        away = x - g.mean(axis=0)
+        log_p.append([-0.5 * (a @ np.linalg.inv(cov) @ a + np.log(np.linalg.det(cov))) for a in away])
+    evidence = np.arcsinh((np.array(log_p[1]) - np.array(log_p[0])) / 2)
+    assert np.allclose(model.evidence(x), evidence)
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(-(model.slope * evidence + model.shift))))
+    # The curve is fitted: its slope and shift leave no gradient but the penalty's.
+    off = model.score(x) - y
+    assert abs(off.sum() + 1e-3 * model.shift) < 1e-6 and abs((off * evidence).sum() + 1e-3 * model.slope) < 1e-6
+
+
+def test_quality_of_a_very_long_text_and_of_ties(spark):
+    docs, labels, known, _ = labelled(spark, 60)
+    text = docs.filter("doc_id = 1").first()["text"]
+    more = framed(spark, [(900, (text + " ") * 8000), (901, text), (902, text), (901, text)])
+    got = {}
+    for r in quality.score_quality(docs.unionByName(more), labels).collect():
+        got.setdefault(r["doc_id"], set()).add(r["score"])
+    assert got[901] == got[902] == got[1] and len(got[1]) == 1 and 0 <= min(got[900]) <= 1
 
 
 # -- pages -----------------------------------------------------------------
