@@ -119,3 +119,139 @@ ranked AS (
 )
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+ITEM_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op2_substring_dedup"] = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+runs AS (
+    SELECT doc_id, p, md5(string_agg(word, ' ') OVER next_words) AS run
+    FROM words
+    WINDOW next_words AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+    QUALIFY count(*) OVER next_words = 20
+),
+later AS (SELECT doc_id, p FROM runs QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM later)
+SELECT docs.doc_id,
+       count(words.p) AS n_words,
+       count(gone.p) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL), '')) AS kept_sha256
+FROM docs
+LEFT JOIN words ON docs.doc_id = words.doc_id
+LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p
+GROUP BY docs.doc_id
+"""
+
+ORACLES["op4_benchmark_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, {ITEM_WORDS} AS w FROM documents),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+items AS (SELECT item_id, {ITEM_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS run
+    FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS p FROM items WHERE len(w) > 0)
+),
+ahead AS (
+    SELECT doc_id, p, list(word) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS w
+    FROM words
+),
+places AS (
+    SELECT doc_id, p, n, array_to_string(w[1 : n], ' ') AS run
+    FROM ahead, (SELECT DISTINCT n FROM windows)
+    WHERE len(w) >= n
+),
+found AS (SELECT doc_id, p, n, item_id FROM places JOIN windows USING (n, run)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS place FROM found) GROUP BY doc_id),
+held AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found)
+    GROUP BY doc_id
+)
+SELECT doc_id,
+       len(w) AS n_words,
+       coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+
+def _crc_table() -> list[int]:
+    """The bytewise table of the reflected polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+ORACLES["op11_importance_resampling"] = f"""
+WITH texts AS (
+    SELECT doc_id AS id, true AS ours, {ITEM_WORDS} AS w FROM documents
+    UNION ALL
+    SELECT item_id, false, {ITEM_WORDS} FROM benchmark
+),
+words AS (SELECT id, ours, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM texts),
+ahead AS (
+    SELECT id, ours, list(word) OVER (PARTITION BY ours, id ORDER BY p ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS w FROM words
+),
+features AS (SELECT id, ours, array_to_string(w[1 : n], ' ') AS f FROM ahead, (SELECT unnest([1, 2, 3]) AS n) WHERE len(w) >= n),
+coded AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features)),
+buckets AS (
+    SELECT f, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(strlen(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+        lambda crc, b: xor(crc >> 8, {_crc_table()}[(xor(crc, b) & 255) + 1]::BIGINT)
+    )) % 10000 AS bucket
+    FROM coded
+),
+placed AS (SELECT id, ours, bucket FROM features JOIN buckets USING (f)),
+counts AS (
+    SELECT bucket, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t,
+           sum(count(*) FILTER (ours)) OVER () AS all_s, sum(count(*) FILTER (NOT ours)) OVER () AS all_t
+    FROM placed GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000))::DOUBLE / ((s + 1) * (all_t + 10000))::DOUBLE))::BIGINT AS gain FROM counts
+),
+weighed AS (
+    SELECT id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE ours GROUP BY id
+),
+scored AS (
+    SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score,
+           len(w) >= 20 AS able
+    FROM texts LEFT JOIN weighed USING (id) WHERE ours
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) FILTER (able) OVER () AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+ORACLES["op12_suffix_dedup"] = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents),
+strings AS (
+    SELECT doc_id, p, md5(substr(h, 2 * p + 1, 800)) AS string
+    FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS p FROM docs WHERE n >= 400)
+),
+repeated AS (SELECT doc_id, p FROM strings QUALIFY count(*) OVER (PARTITION BY string) > 1),
+marked AS (
+    SELECT doc_id, p, p > coalesce(lag(p) OVER of_doc, -401) + 400 AS new FROM repeated WINDOW of_doc AS (PARTITION BY doc_id ORDER BY p)
+),
+numbered AS (SELECT doc_id, p, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked),
+spans AS (SELECT doc_id, span, min(p) AS first, max(p) + 400 AS past FROM numbered GROUP BY doc_id, span),
+ends AS (
+    SELECT doc_id, first, past, coalesce(lag(past) OVER (PARTITION BY doc_id ORDER BY first), 0) AS before FROM spans
+),
+removed AS (
+    SELECT doc_id, count(*) AS n_spans, sum(past - first) AS n_removed, max(past) AS tail,
+           string_agg(substr(h, 2 * before + 1, 2 * (first - before)), '' ORDER BY first) AS kept
+    FROM ends JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id,
+       n AS n_bytes,
+       coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substr(h, 2 * tail + 1) END)) AS kept_sha256
+FROM docs LEFT JOIN removed USING (doc_id)
+"""
