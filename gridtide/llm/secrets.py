@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridtide.llm.common import ID, ROW, identified
+from gridtide.llm.common import ID, ROW, identified, keep_table
 
 # The shapes, in the order in which spans at one place are listed.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -99,11 +99,9 @@ def _normal_tail(z: Column) -> Column:
     return F.least(F.lit(1.0), F.exp(-z * z / 2))
 
 
-def battery(tokens: DataFrame, token: str = "match") -> DataFrame:
-    """The frame with ``encoding`` (null if none fits), ``p_uniform``,
-    ``p_runs``, ``p_serial`` (small: not random) and ``p_written`` (small: no
-    word or name). Tokens are short strings; longer ones are judged by all
-    their characters like any other."""
+def with_encoding(tokens: DataFrame, token: str = "match") -> DataFrame:
+    """The frame with ``encoding`` (null if none fits), its letters and the
+    token in them."""
     core = F.rtrim(F.col(token), F.lit("="))
     encoding, alphabet, symbols = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, (pattern, letters) in reversed(ENCODINGS.items()):
@@ -112,7 +110,17 @@ def battery(tokens: DataFrame, token: str = "match") -> DataFrame:
         alphabet = F.when(fits, letters).otherwise(alphabet)
         folded = F.lower(core) if name in FOLDED else core
         symbols = F.when(fits, folded).otherwise(symbols)
-    with_letters = tokens.select("*", encoding.alias("encoding"), alphabet.alias("_alphabet"), symbols.alias("_core"))
+    return tokens.select("*", encoding.alias("encoding"), alphabet.alias("_alphabet"), symbols.alias("_core"))
+
+
+def battery(tokens: DataFrame, token: str = "match") -> DataFrame:
+    """The frame with ``encoding`` (null if none fits), ``p_uniform``,
+    ``p_runs``, ``p_serial`` (small: not random) and ``p_written`` (small: no
+    word or name). A token of any length is judged by all its characters, in
+    time that grows with their number, if ``with_encoding`` has been written to
+    a table: otherwise the letters are worked out again for each character."""
+    with_letters = tokens if "_core" in tokens.columns else with_encoding(tokens, token)
+    core = F.rtrim(F.col(token), F.lit("="))
     chars = F.filter(F.split("_core", ""), lambda c: c != "")
     values = F.transform(chars, lambda c: F.instr(F.col("_alphabet"), c).cast("double"))
     measured = with_letters.withColumns({"_values": values, "_size": F.char_length("_alphabet").cast("double")})
@@ -203,11 +211,14 @@ def apart(accepted: DataFrame) -> DataFrame:
 
 
 def random_tokens(tokens: DataFrame, alpha: float = 1e-3, fdr: float = 0.01) -> DataFrame:
-    judged = battery(parted(tokens)).filter(F.col("encoding").isNotNull())
+    fitting = keep_table(with_encoding(parted(tokens)).filter(F.col("encoding").isNotNull()), "tokens")
+    judged = battery(fitting)
     passed = (F.col("p_uniform") >= alpha) & (F.col("p_runs") >= alpha) & (F.col("p_serial") >= alpha)
     judged = judged.withColumn(
         "bin", F.least(F.lit(BINS), F.floor(-F.log10(F.greatest(F.col("p_written"), F.lit(math.ulp(0.0))))).cast("int"))
     )
+    # Written before it is filtered: a filter would work out each figure again.
+    judged = keep_table(judged, "judged")
     return apart(judged.filter(passed & (F.col("bin") >= discovery_bin(judged, fdr))))
 
 
@@ -222,7 +233,8 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", alpha
     not. Other columns are ignored.
     """
     rows = identified(docs, key, text)
-    found = matches(rows)
+    # One pass over the texts, whatever becomes of the matches.
+    found = keep_table(matches(rows), "matches")
     columns = [ID, ROW, "kind", "start", "end"]
     random = random_tokens(found.filter("kind = 3"), alpha, fdr)
     spans = (
