@@ -5,7 +5,8 @@ slice of documents packs its records into one compressed block per bucket of
 the hash space. A hash that a slice holds several times is settled there: one
 record of it travels, and the other places are reported at once. So a passage
 that a third of all documents share sends one record per slice, not one per
-document, and a bucket's size depends on the number of buckets alone.
+document. The number of buckets follows from the bytes of the texts, not from
+the session, and a bucket answers with one row per document it knows of.
 """
 
 from __future__ import annotations
@@ -15,10 +16,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridtide.llm.common import shuffle_width
-
 BLOCK = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("block", T.BinaryType())])
 PLACES = T.StructType(
     [
@@ -27,6 +27,9 @@ PLACES = T.StructType(
         T.StructField("places", T.BinaryType()),
     ]
 )
+PLACES_ARROW = pa.schema([("_at_id", pa.int64()), ("_at_row", pa.int64()), ("places", pa.binary())])
+# What a bucket of hashes stands for, some hundred thousand records, and how many there are at least.
+BUCKET_BYTES, BUCKETS = 16 << 20, 64
 
 
 class Records:
@@ -139,18 +142,22 @@ def blocks(records: Records, buckets: int, repeats_only_later: bool) -> Iterator
         yield int((found.places[0] + found.rows[0]) % buckets), found.pack()
 
 
-def _answers(parts: list[Records], buckets: int) -> list[tuple[int, bytes]]:
-    """Places packed by a hash of their document."""
+def _answers(parts: list[Records]) -> pa.Table:
+    """One row per document, with its places."""
     if not parts:
-        return []
+        return PLACES_ARROW.empty_table()
     found = Records.joined(parts)
-    bucket = (found.rows.view(np.uint64) % np.uint64(buckets)).astype(np.int64)[found.docs]
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    return [(int(bucket[order[s]]), found.pick(order[s:e]).pack()) for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True)]
+    ids, rows = found.ids[found.docs], found.rows[found.docs]
+    order = np.lexsort((found.places, ids, rows))
+    ids, rows, places = ids[order], rows[order], found.places[order].astype(np.int32)
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])
+    cuts = np.flatnonzero(new)
+    packed = [places[s:e].tobytes() for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True)]
+    return pa.table({"_at_id": pa.array(ids[cuts]), "_at_row": pa.array(rows[cuts]), "places": pa.array(packed, pa.binary())})
 
 
-def _meet(repeats_only_later: bool, gathered: int, table: pa.Table) -> pa.Table:
+def _meet(repeats_only_later: bool, table: pa.Table) -> pa.Table:
     """Records of one bucket of hashes: the places of those that repeat."""
     arrived = [Records.unpack(b) for b in table.column("block").to_pylist()]
     out, parts = [r for r in arrived if r.hashes is None], [r for r in arrived if r.hashes is not None]
@@ -172,30 +179,16 @@ def _meet(repeats_only_later: bool, gathered: int, table: pa.Table) -> pa.Table:
             found = records.pick(np.sort(order[repeat]))
             found.hashes = None
             out.append(found)
-    answers = _answers(out, gathered)
-    return pa.table({"bucket": pa.array([b for b, _ in answers], pa.int32()), "block": pa.array([x for _, x in answers], pa.binary())})
-
-
-def _by_document(table: pa.Table) -> pa.Table:
-    """One row per document of a bucket of documents."""
-    found = Records.joined([Records.unpack(b) for b in table.column("block").to_pylist()])
-    ids, rows = found.ids[found.docs], found.rows[found.docs]
-    order = np.lexsort((found.places, ids, rows))
-    ids, rows, places = ids[order], rows[order], found.places[order].astype(np.int32)
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])
-    cuts = np.flatnonzero(new)
-    packed = [places[s:e].tobytes() for s, e in zip(cuts, [*cuts[1:], len(order)], strict=True)]
-    return pa.table({"_at_id": pa.array(ids[cuts]), "_at_row": pa.array(rows[cuts]), "places": pa.array(packed, pa.binary())})
+    return _answers(out)
 
 
 def repeated_places(
-    rows: DataFrame, records_of: Callable[[Iterator[pa.RecordBatch]], Iterator[Records]], repeats_only_later: bool
+    rows: DataFrame, records_of: Callable[[Iterator[pa.RecordBatch]], Iterator[Records]], repeats_only_later: bool, text_bytes: int
 ) -> DataFrame:
-    """One row per document: ``_at_id``, ``_at_row`` and ``places``, the word
-    numbers, as 32-bit integers, at which a repeated hash stands: all of its
-    places, or all but its earliest one."""
-    buckets = 4 * shuffle_width(rows.sparkSession)
+    """One row per document: ``_at_id``, ``_at_row`` and ``places``, lists of
+    the word numbers (32-bit integers) at which a repeated hash stands: all of
+    its places, or all but its earliest one. The texts have ``text_bytes``."""
+    buckets = max(BUCKETS, -(-text_bytes // BUCKET_BYTES))
 
     def send(batches):
         for records in records_of(batches):
@@ -206,11 +199,9 @@ def repeated_places(
                     names=["bucket", "block"],
                 )
 
-    # A block of answers for each task that gathers documents, from each bucket.
-    gathered = shuffle_width(rows.sparkSession)
-    met = rows.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(lambda t: _meet(repeats_only_later, gathered, t), BLOCK)
-    return met.groupBy("bucket").applyInArrow(_by_document, PLACES)
+    met = rows.mapInArrow(send, BLOCK).groupBy("bucket").applyInArrow(lambda t: _meet(repeats_only_later, t), PLACES)
+    return met.groupBy("_at_id", "_at_row").agg(F.collect_list("places").alias("places"))
 
 
-def unpack_places(packed: bytes) -> np.ndarray:
-    return np.unique(np.frombuffer(packed, dtype=np.int32)).astype(np.int64)
+def unpack_places(packed: list[bytes]) -> np.ndarray:
+    return np.unique(np.frombuffer(b"".join(packed), dtype=np.int32)).astype(np.int64)

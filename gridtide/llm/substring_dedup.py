@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gridtide.llm.common import whole
 from gridtide.llm.exchange import Records, hash_bytes, repeated_places, unpack_places
-from gridtide.llm.words import Slice, in_slices
+from gridtide.llm.words import Slice, in_parts, in_slices
 
 # A period and a cover that has every difference modulo it.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -69,7 +69,7 @@ def _windows(window: int):
 
 def _remove(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             n_words, n_removed, kept = [], [], []
             for text, found in zip(batch.column("_text").to_pylist(), batch.column("places").to_pylist(), strict=True):
                 words = text.split()
@@ -116,11 +116,12 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         F.xxhash64(F.col(key), whole(text)).alias("_row"),
         whole(text).cast("binary").alias("_text"),
     )
-    anchors = repeated_places(rows, _anchors(window), False)
+    text_bytes = rows.agg(F.sum(F.octet_length("_text").cast("bigint"))).first()[0] or 0
+    anchors = repeated_places(rows, _anchors(window), False, text_bytes)
     # Both joins read the same shuffle of the texts.
     matched = (rows["_id"] == F.col("_at_id")) & (rows["_row"] == F.col("_at_row"))
     suspects = rows.hint("shuffle_merge").join(anchors, matched).select("_id", "_row", "_text", "places")
-    later = repeated_places(suspects, _windows(window), True)
+    later = repeated_places(suspects, _windows(window), True, text_bytes)
     marked = rows.hint("shuffle_merge").join(later, matched, "left").select("_id", "_row", "_text", "places")
     schema = "_id bigint, _row bigint, n_words bigint, n_removed bigint, text string, kept_sha256 string"
     done = marked.mapInArrow(_remove(window), schema)
