@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import keep_table, whole
+from gridtide.llm.words import in_parts
 
 # What one flush, one block of terms and one block of sources hold.
-ENTRIES, TERMS, SOURCES = 100_000, 64, 32
+ENTRIES, TERMS, SOURCES = 250_000, 64, 32
 # The bytes of a term, A-Z in lower case; all others part terms.
 LETTERS = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 SMOOTH, SCALE = 5, 1_000_000_000
@@ -40,23 +41,22 @@ PRICED = "lang string, source string, item string, value bigint, seen bigint, ga
 
 
 def _flush(found: dict, held: dict) -> pa.RecordBatch:
-    keys = [(lang, source, term) for (lang, source), counts in found.items() for term in counts]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([k[0] for k in keys], pa.string()),
-            pa.array([k[1] for k in keys], pa.string()),
-            pa.array([k[2].decode() for k in keys], pa.string()),
-            pa.array([found[k[:2]][k[2]] for k in keys], pa.int64()),
-            pa.array([held[k[:2]][k[2]] for k in keys], pa.int64()),
-        ],
-        names=["lang", "source", "term", "n", "docs"],
-    )
+    def repeated(part: int) -> pa.Array:
+        return pa.concat_arrays([pa.repeat(pa.scalar(key[part], pa.string()), len(counts)) for key, counts in found.items()])
+
+    def numbers(values: Iterator[int]) -> pa.Array:
+        return pa.array(np.fromiter(values, np.int64))
+
+    terms = pa.array([term for counts in found.values() for term in counts], pa.binary()).cast(pa.string())
+    n = numbers(v for counts in found.values() for v in counts.values())
+    docs = numbers(held[key][term] for key, counts in found.items() for term in counts)
+    return pa.RecordBatch.from_arrays([repeated(0), repeated(1), terms, n, docs], names=["lang", "source", "term", "n", "docs"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents per language, source and term."""
     found, held, entries = defaultdict(Counter), defaultdict(Counter), 0
-    for batch in batches:
+    for batch in in_parts(batches):
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             terms = text.as_py().translate(LETTERS).split()
             counts = found[lang, source]
@@ -100,7 +100,7 @@ def _priced_block(key: tuple, entries: pa.Table, block: pa.Table) -> pa.Table:
     value = np.zeros((len(sources), len(sources)), dtype=np.int64)
     if len(terms):
         owner, price = np.concatenate(owner), np.concatenate(price)
-        indicator = np.concatenate(ones, axis=1).astype(np.float32)  # counts up to TERMS a cell: exact
+        indicator = np.concatenate(ones, axis=1).astype(np.float32)  # a cell counts terms of a block: exact
         cut = 0 if same else int(np.searchsorted(owner, len(left)))
         joint = (indicator[:, : cut or None].T @ indicator[:, cut:]).astype(np.int64)
         i, j = np.nonzero(joint)
