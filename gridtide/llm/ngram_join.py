@@ -311,12 +311,24 @@ def _contested(percent: int):
                 return whole_map
             return np.packbits(np.unpackbits(whole_map).reshape(size * 8, -1).any(axis=1))
 
+        def closer(first: int, i: int, others: np.ndarray, n: np.ndarray) -> np.ndarray:
+            """Those that the bitmaps of i and each other allow at the width of i's
+            own, which is the smaller one or the same."""
+            if not len(others):
+                return others
+            own = np.frombuffer(bits[first + i], np.uint8)
+            theirs = np.stack([words(first + int(j), len(own)) for j in others])
+            lacks = np.bitwise_count(own & ~theirs).sum(axis=1, dtype=np.int64)
+            extra = np.bitwise_count(~own & theirs).sum(axis=1, dtype=np.int64)
+            bound = np.minimum(n[i] - lacks, n[others] - extra)
+            return others[100 * bound >= percent * (n[i] + n[others] - bound)]
+
         new = np.ones(len(tile), dtype=bool)
         new[1:] = tile[1:] != tile[:-1]
         starts = np.flatnonzero(new)
         found: set[tuple] = set()
         for start, end in zip(starts, [*starts[1:], len(tile)], strict=True):
-            # One width for the tile; folding only loosens the bound.
+            # One width for the tile first; folding only loosens the bound.
             width = min(len(bits[i]) for i in range(start, end))
             rows = np.stack([words(i, width) for i in range(start, end)])
             n = sizes[start:end]
@@ -329,7 +341,8 @@ def _contested(percent: int):
                     lacks = np.bitwise_count(rows[i] & ~rows[block]).sum(axis=1, dtype=np.int64)
                     extra = np.bitwise_count(~rows[i] & rows[block]).sum(axis=1, dtype=np.int64)
                     bound = np.minimum(n[i] - lacks, n[block] - extra)
-                    for j in block[100 * bound >= percent * (n[i] + n[block] - bound)]:
+                    passed = block[100 * bound >= percent * (n[i] + n[block] - bound)]
+                    for j in closer(int(start), i, passed, n):
                         p, q = sorted(((int(ids[start + i]), int(digests[start + i])), (int(ids[start + j]), int(digests[start + j]))))
                         found.add((*p, *q))
         columns = list(zip(*found, strict=True)) or [[], [], [], []]
@@ -382,7 +395,13 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
         "tile", "id", "digest", "size", F.coalesce("component", "id").alias("component")
     )
     placed = keep_table(placed, "placed")
-    contested = placed.groupBy("tile").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    member = F.xxhash64("id", "digest")
+    contested = placed.groupBy("tile").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
+        F.bit_xor(member).alias("xor"), F.bit_xor(F.xxhash64(F.lit(1), "digest", "id")).alias("other_xor"),
+    ).filter("low < high")
+    # Tiles of the same members hold the same pairs: one of them will do.
+    contested = contested.groupBy("members", "xor", "other_xor").agg(F.min("tile").alias("tile"))
     bits = sets.select(F.col("id").alias("of_id"), F.col("digest").alias("of_digest"), "bits").dropDuplicates(["of_id", "of_digest"])
     open_members = placed.join(contested.select("tile"), "tile", "left_semi")
     open_members = open_members.join(bits, (F.col("id") == F.col("of_id")) & (F.col("digest") == F.col("of_digest"))).drop("of_id", "of_digest")

@@ -93,6 +93,6 @@ def test_pipeline_over_empty_tables(spark, tables, tmp_path, empty):
         assert got == []
     elif "labels" in empty:
         # Nothing to learn from: no document goes for its quality.
-        assert {2000 + i for i in range(120) if i != 3} - {r["doc_id"] for r in got} == set()
+        assert {2000 + i for i in range(80) if i != 3} - {r["doc_id"] for r in got} == set()
     else:
         assert {r["doc_id"] for r in got} >= {2003}
