@@ -62,7 +62,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with their digest, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    # Written in between, so that a task needs one Python worker at a time.
+    encoded = keep_table(bpe.encode(docs, path, public_tokenizers.PATTERN), "token-ids")
     decoded = bpe.decode(encoded, path)
     return decoded.select(
         "doc_id",
