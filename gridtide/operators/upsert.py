@@ -106,11 +106,12 @@ def upsert_silver(current: DataFrame, batch: DataFrame, layout, series: Sequence
 
 
 def constraint_report(
-    df: DataFrame, keys: Sequence[str], required: Sequence[str] = (), by: Column | None = None
+    df: DataFrame, keys: Sequence[str], required: Sequence[str] = (), by: Column | None = None, counted: Column | None = None
 ) -> DataFrame:
     """How many rows, distinct keys, rows with a null key, keys that repeat,
     and rows lacking a required column: one row in all, or one per value of
-    ``by`` (an expression over the keys).
+    ``by`` (an expression over the keys). With ``counted`` also how many rows
+    that holds for.
 
     Counting per key first keeps a hot key to one partial row per task, and
     every figure comes out of the same pass.
@@ -121,7 +122,8 @@ def constraint_report(
     lacking = F.lit(False)
     for r in required:
         lacking = lacking | F.col(r).isNull()
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(lacking).alias("lacking"))
+    also = [] if counted is None else [F.count_if(counted).alias("counted")]
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(lacking).alias("lacking"), *also)
     grouped = per_key.groupBy() if by is None else per_key.groupBy(by.alias("part"))
     zero = F.lit(0)
     return grouped.agg(
@@ -130,16 +132,17 @@ def constraint_report(
         F.coalesce(F.sum(F.when(null_key, F.col("n"))), zero).alias("null_key_rows"),
         F.count_if(~null_key & (F.col("n") > 1)).alias("repeated_keys"),
         F.coalesce(F.sum("lacking"), zero).alias("null_required_rows"),
+        *([] if counted is None else [F.coalesce(F.sum("counted"), zero).alias("counted")]),
     )
 
 
 def check_constraints(
-    df: DataFrame, keys: Sequence[str], required: Sequence[str], by: Column
+    df: DataFrame, keys: Sequence[str], required: Sequence[str], by: Column, counted: Column | None = None
 ) -> dict[object, dict[str, int]]:
     """Fail the batch if a key is null or repeated or a required column is
     null; otherwise return the counts per value of ``by``, a date derived from
     the key: only as many rows as there are dates come to the driver."""
-    by_part = {r["part"]: r.asDict() for r in constraint_report(df, keys, required, by).collect()}
+    by_part = {r["part"]: r.asDict() for r in constraint_report(df, keys, required, by, counted).collect()}
     faults = ("null_key_rows", "repeated_keys", "null_required_rows")
     broken = {f: n for f in faults if (n := sum(counts[f] for counts in by_part.values()))}
     if broken:

@@ -20,6 +20,7 @@ import uuid
 from collections.abc import Callable
 from typing import Protocol
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from gridtide.sources.datasets import on_file_system
@@ -51,10 +52,18 @@ class HadoopFiles:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         scheme = on_file_system(spark, root)[1].getUri().getScheme()
-        self.atomic = scheme in ATOMIC
+        self.atomic, self.local = scheme in ATOMIC, scheme == "file"
 
     def _put(self, path: str, content: str, overwrite: bool) -> None:
         hadoop_path, files = on_file_system(self.spark, path)
+        if self.local and not overwrite:
+            # Hadoop's local file system looks first and writes then; Java's own does not.
+            files.mkdirs(hadoop_path.getParent())
+            jvm = self.spark._jvm
+            options = self.spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 2)
+            options[0], options[1] = jvm.java.nio.file.StandardOpenOption.CREATE_NEW, jvm.java.nio.file.StandardOpenOption.WRITE
+            jvm.java.nio.file.Files.write(jvm.java.io.File(hadoop_path.toUri().getPath()).toPath(), bytearray(content.encode()), options)
+            return
         out = files.create(hadoop_path, overwrite)
         try:
             out.write(bytearray(content.encode()))
@@ -62,14 +71,12 @@ class HadoopFiles:
             out.close()
 
     def create(self, path: str, content: str) -> bool:
-        from py4j.protocol import Py4JJavaError
-
         if self.read(path) is not None:
             return False
         try:
             self._put(path, content, False)
         except Py4JJavaError as error:
-            if "FileAlreadyExists" in error.java_exception.getClass().getName() or "already exists" in str(error.java_exception):
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
                 return False
             raise
         return True

@@ -215,11 +215,12 @@ class MarketStore:
         log = self.spark.createDataFrame(rows, COMMIT).coalesce(1)
         log.write.mode("append").parquet(f"{self.root}/commits")
 
-    def _load(self, table: Table, batch: DataFrame, merge, required: Sequence[str], then) -> int:
+    def _load(self, table: Table, batch: DataFrame, merge, required: Sequence[str], then, run_id: str | None = None) -> int:
         """Write a batch, check what was written, publish it with whatever
         ``then`` writes besides. With rewriting the batch is worked out twice:
         for its dates, and where it is merged, which also counts it. By deltas
-        it is worked out once: what was written has its dates."""
+        it is worked out once: what was written has its dates. With ``run_id``
+        as many rows must have been written by that run as the batch had."""
         touched = None if self.deltas else self._touched(table, batch)
         if touched is not None and not touched:
             return 0
@@ -233,12 +234,16 @@ class MarketStore:
                 counted = batch.observe(seen, F.count("*").alias("n_rows"))
                 written, _ = self._write(table, commit, merge(self._read(table, live, touched - {None}), counted))
                 expected = seen.get["n_rows"]
-            by_part = upsert.check_constraints(written, self.keys(table), required, by=table.part()) if expected else {}
+            own = None if run_id is None else F.col("updated_run_id") == run_id
+            by_part = upsert.check_constraints(written, self.keys(table), required, table.part(), own) if expected else {}
             if not by_part:
                 self.claims.give_up(commit, token)
                 return 0
+            loaded = expected if own is None else sum(counts["counted"] for counts in by_part.values())
+            if loaded != expected:
+                raise RuntimeError(f"expected {expected} rows from run {run_id}, found {loaded}; nothing published")
             touched = set(by_part)
-            parts = {table.name: touched, **then(commit, live, written, touched, expected)}
+            parts = {table.name: touched, **then(commit, live, written, touched)}
             self._publish(commit, token, parts, self.deltas)
         except BaseException:
             self.claims.give_up(commit, token)
@@ -252,10 +257,7 @@ class MarketStore:
         run_id = run_id or str(uuid.uuid4())
         as_of = as_of or dt.datetime.now(dt.timezone.utc)
 
-        def daily(commit: int, live: Live, hourly: DataFrame, touched: set[dt.date], expected: int) -> dict:
-            loaded = hourly.filter(F.col("updated_run_id") == run_id).count()
-            if loaded != expected:
-                raise RuntimeError(f"expected {expected} rows from run {run_id}, found {loaded}; nothing published")
+        def daily(commit: int, live: Live, hourly: DataFrame, touched: set[dt.date]) -> dict:
             # Rewritten partitions are whole days, so they are all a refresh
             # needs. Deltas are not: their days are read with them merged in.
             if self.deltas:
@@ -270,7 +272,7 @@ class MarketStore:
             return {DAILY.name: months}
 
         batch = upsert.hourly_batch(grid, run_id, as_of, self.series)
-        return self._load(HOURLY, batch, lambda old, new: upsert.upsert_hourly(old, new, self.series), (), daily)
+        return self._load(HOURLY, batch, lambda old, new: upsert.upsert_hourly(old, new, self.series), (), daily, run_id)
 
     def load_silver(self, table: Table, clean: DataFrame, as_of=None) -> int:
         """Upsert one cleaned feed into its silver table and publish it.
@@ -290,7 +292,7 @@ class MarketStore:
         fresh = upsert.not_older(clean, last, self.keys(table), reports.LANDED_ON)
         marks = fresh.select(*self.keys(table), reports.LANDED_ON)
 
-        def with_dates(commit: int, live: Live, _written: DataFrame, days: set[dt.date], _expected: int) -> dict:
+        def with_dates(commit: int, live: Live, _written: DataFrame, days: set[dt.date]) -> dict:
             if live != before:
                 raise RuntimeError(f"another load published to {self.root} meanwhile; nothing published")
             rows = marks if self.deltas else upsert.upsert(self._read(dates, live, days), marks, self.keys(table), [reports.LANDED_ON])
