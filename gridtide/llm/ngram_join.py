@@ -6,8 +6,10 @@ shingles, whatever order all sets are sorted in. The order is rare before
 frequent, after a count sketch of fixed size over the whole corpus, so a
 passage that very many documents hold stands last and brings nobody together.
 
-Each such prefix shingle is a tile. Sets of a tile are sorted by size and cut
-into bands within which sizes allow a link, and the smallest set of a band is
+Each such prefix shingle is a tile. At the first tile that two sets share, what
+stands before it in either has no part in their overlap, so the places of the
+tile in both orders bound it. A member stays in a tile only if that bound allows
+it a partner there. Sets of a tile are sorted by size and cut into bands within which sizes allow a link, and the smallest set of a band is
 compared with the others of it, and each with its neighbour in an order of the
 tile's own. That joins most groups of copies with a number of pairs in
 proportion to the documents. Then components are worked out, and only tiles
@@ -16,8 +18,9 @@ as all others can add nothing.
 
 A pair's hashed bitmaps bound its overlap from above: a bit that one set has
 and the other lacks is an element less. In the second round the bound is taken
-inside the tile. Only pairs that it lets pass fetch their sorted shingle arrays
-and are intersected.
+inside the tile, and a pair comes only from the first tile it shares, which the
+shingles before it in both orders tell. Only pairs that the bound lets pass fetch
+their sorted shingle arrays and are intersected.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from gridtide.llm.exchange import Records, hash_bytes
 from gridtide.llm.words import Slice, in_slices, mixed, range_hashes
 
 SKETCH_LOG, SKETCH_PARTS = 20, 64
+# Bitmaps up to this size have more bits for each shingle; a filter of ids has no more than that.
+FINE_LOG, FILTER_LOG = 13, 26
 
 
 def document_sets(part: Slice, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,6 +117,18 @@ def _document_rows(length: int):
     return rows
 
 
+def _in_order(docs: np.ndarray, shingles: np.ndarray, n: np.ndarray, classes: np.ndarray, percent: int):
+    """The prefixes (document numbers, shingles, sizes) of sets of ``n`` shingles
+    rare before frequent, and the rank of each shingle in its set."""
+    rarity = classes[(shingles >> np.uint64(64 - SKETCH_LOG)).astype(np.int64)]
+    order = np.lexsort((shingles, rarity, docs))
+    docs, shingles = docs[order], shingles[order]
+    rank = np.arange(len(docs)) - np.searchsorted(docs, docs)
+    n = n[docs]
+    first = rank < n - -(-percent * n // 100) + 1
+    return docs[first], shingles[first], n[first], rank[first]
+
+
 def _prefixes(length: int, percent: int, frequency, buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = frequency.value
@@ -128,14 +145,9 @@ def _prefixes(length: int, percent: int, frequency, buckets: int):
             keep[digests == 0] = False
             chosen = keep[docs]
             docs, shingles = docs[chosen], shingles[chosen]
-            rarity = classes[(shingles >> np.uint64(64 - SKETCH_LOG)).astype(np.int64)]
-            order = np.lexsort((shingles, rarity, docs))
-            docs, shingles = docs[order], shingles[order]
-            rank = np.arange(len(docs)) - np.searchsorted(docs, docs)
-            n = sizes[docs]
-            first = rank < n - -(-percent * n // 100) + 1
-            docs, shingles, n = docs[first], shingles[first], n[first]
-            records = Records(part.ids, digests, docs, n, hash_bytes(shingles, None, 8))
+            docs, shingles, n, rank = _in_order(docs, shingles, sizes, classes, percent)
+            places = np.ascontiguousarray(rank.astype(np.int32)).view(np.uint8).reshape(-1, 4)
+            records = Records(part.ids, digests, docs, n, np.concatenate([hash_bytes(shingles, None, 8), places], axis=1))
             bucket = (shingles % np.uint64(buckets)).astype(np.int64)
             by_bucket = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1))
@@ -151,29 +163,49 @@ def _prefixes(length: int, percent: int, frequency, buckets: int):
 
 
 MEMBERS = (
-    "tile bigint, id bigint, digest bigint, size bigint, leader bigint, leader_digest bigint, next bigint, next_digest bigint"
+    "tile bigint, id bigint, digest bigint, size bigint, rank int, leader bigint, leader_digest bigint, next bigint, next_digest bigint"
 )
 
 
+def partner_sizes(sizes: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
+    """The size up to which sets can link with one of ``sizes`` shingles if the
+    first shingle they share stands at that rank in it."""
+    return np.maximum(((100 + percent) * (sizes - ranks) - percent * sizes) // percent, 0)
+
+
+def have_partners(tile: np.ndarray, sizes: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which members of tiles, sorted by (tile, size), have another one there of
+    a size up to their ``most`` whose ``most`` allows their own size."""
+    if not len(tile):
+        return np.zeros(0, dtype=bool)
+    base = np.cumsum(np.diff(tile, prepend=tile[0]) != 0).astype(np.int64) << 32
+    most = most + base
+    # The greatest and second greatest so far in the tile; those of tiles before are less than any size in it.
+    greatest = np.maximum.accumulate(most)
+    second = np.maximum.accumulate(np.minimum(most, np.concatenate([[-1], greatest[:-1]])))
+    allowed = np.searchsorted(base + sizes, most, side="right")
+    at = np.maximum(allowed - 1, 0)
+    others = np.where((np.arange(len(tile)) < allowed) & (most == greatest[at]), second[at], greatest[at])
+    return (allowed > 0) & (others >= base + sizes)
+
+
 def _tiles(percent: int):
     def meet(table: pa.Table) -> pa.Table:
         parts = [Records.unpack(b) for b in table.column("block").to_pylist()]
-        tile = np.concatenate([p.hashes.copy().view(np.uint64)[:, 0] for p in parts])
+        tile = np.concatenate([p.hashes[:, :8].copy().view(np.uint64)[:, 0] for p in parts])
+        ranks = np.concatenate([p.hashes[:, 8:].copy().view(np.int32)[:, 0] for p in parts]).astype(np.int64)
         ids = np.concatenate([p.ids[p.docs] for p in parts])
         digests = np.concatenate([p.rows[p.docs] for p in parts])
         sizes = np.concatenate([p.places for p in parts])
         order = np.lexsort((ids, digests, sizes, tile))
-        tile, ids, digests, sizes = tile[order], ids[order], digests[order], sizes[order]
+        tile, ids, digests, sizes, ranks = tile[order], ids[order], digests[order], sizes[order], ranks[order]
         # Equal sets of several slices: the smallest id.
         first = np.ones(len(tile), dtype=bool)
         first[1:] = (tile[1:] != tile[:-1]) | (digests[1:] != digests[:-1])
-        tile, ids, digests, sizes = tile[first], ids[first], digests[first], sizes[first]
-        new = np.ones(len(tile), dtype=bool)
-        new[1:] = tile[1:] != tile[:-1]
-        starts = np.flatnonzero(new)
-        lone = np.diff([*starts, len(tile)]) == 1
-        several = ~np.repeat(lone, np.diff([*starts, len(tile)]))
-        tile, ids, digests, sizes = tile[several], ids[several], digests[several], sizes[several]
+        tile, ids, digests, sizes, ranks = tile[first], ids[first], digests[first], sizes[first], ranks[first]
+        most = partner_sizes(sizes, ranks, percent)
+        met = have_partners(tile, sizes, most)
+        tile, ids, digests, sizes, ranks, most = tile[met], ids[met], digests[met], sizes[met], ranks[met], most[met]
         lead = np.zeros(len(tile), dtype=np.int64)
         at = 0
         starts = np.flatnonzero(np.diff(tile, prepend=tile[:1] ^ np.uint64(1))) if len(tile) else []
@@ -188,10 +220,12 @@ def _tiles(percent: int):
         later = np.roll(turn, -1)
         neighbour = np.empty(len(tile), dtype=np.int64)
         neighbour[turn] = np.where(lead[later] == lead[turn], later, turn) if len(turn) else turn
+        own = np.arange(len(tile))
+        lead, neighbour = (np.where((sizes[x] <= most) & (sizes <= most[x]), x, own) for x in (lead, neighbour))
         return pa.table(
             {
                 "tile": pa.array(tile.view(np.int64)), "id": pa.array(ids), "digest": pa.array(digests),
-                "size": pa.array(sizes, pa.int64()), "leader": pa.array(ids[lead]), "leader_digest": pa.array(digests[lead]),
+                "size": pa.array(sizes, pa.int64()), "rank": pa.array(ranks, pa.int32()), "leader": pa.array(ids[lead]), "leader_digest": pa.array(digests[lead]),
                 "next": pa.array(ids[neighbour]), "next_digest": pa.array(digests[neighbour]),
             }
         )
@@ -199,13 +233,45 @@ def _tiles(percent: int):
     return meet
 
 
-def _set_rows(length: int):
+def _filter_words(log_bits: int):
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = mixed(batch.column("id").to_numpy().view(np.uint64)) >> np.uint64(64 - log_bits)
+            bits = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+    return words
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Words of 64 bits, of which hashes of the ids set one bit each: 16 bits an
+    id as long as that is a bounded size, so that no text has to be shuffled to
+    be left out. Ids that pass by chance cost time only."""
+    log_bits = min(FILTER_LOG, max(6, int(16 * ids.count()).bit_length()))
+    words = ids.mapInArrow(_filter_words(log_bits), "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    found, out = words.toArrow(), np.zeros(1 << (log_bits - 6), dtype=np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _passing(batches: Iterator[pa.RecordBatch], words: np.ndarray, key: str = "_id") -> Iterator[pa.RecordBatch]:
+    log_bits = len(words).bit_length() + 5
+    for batch in batches:
+        at = mixed(batch.column(key).to_numpy().view(np.uint64)) >> np.uint64(64 - log_bits)
+        passes = (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+        yield batch.filter(pa.array(passes.astype(bool)))
+
+
+def _set_rows(length: int, percent: int, frequency, wanted):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, rows_, texts in in_slices(batches):
+        classes = frequency.value
+        for ids, rows_, texts in in_slices(_passing(batches, wanted.value)):
             part = Slice(ids, rows_, texts, lower=True)
             docs, shingles = document_sets(part, length)
             ends = np.searchsorted(docs, np.arange(len(ids) + 1))
             sets = [shingles[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)]
+            of, rarest, _, _ = _in_order(docs, shingles, np.diff(ends), classes, percent)
+            cuts = np.searchsorted(of, np.arange(len(ids) + 1))
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": pa.array(part.ids),
@@ -213,6 +279,7 @@ def _set_rows(length: int):
                     "n": pa.array(np.diff(ends), pa.int64()),
                     "bits": pa.array([bitmap(s) for s in sets], pa.binary()),
                     "shingles": pa.array([packed_set(s) for s in sets], pa.binary()),
+                    "prefix": pa.array([packed_set(rarest[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                 }
             )
 
@@ -220,16 +287,16 @@ def _set_rows(length: int):
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """A bit for each shingle, by its leading hash bits; twice as many bits as
-    shingles, rounded up to a power of two, and 64 at least."""
-    log_bits = max(6, int(2 * len(shingles)).bit_length())
+    """A bit for each shingle, by its leading hash bits; eight times as many bits
+    as shingles up to FINE_LOG, else twice as many, rounded up to a power of two."""
+    log_bits = max(6, int(2 * len(shingles)).bit_length(), min(FINE_LOG, int(8 * len(shingles)).bit_length()))
     bits = np.zeros(1 << log_bits, dtype=np.uint8)
     bits[(shingles >> np.uint64(64 - log_bits)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
 def packed_set(shingles: np.ndarray) -> bytes:
-    """The leading six bytes of each of the sorted hashes."""
+    """The leading six bytes of each of the hashes."""
     return (shingles >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
@@ -269,20 +336,26 @@ def _linked(percent: int):
     return possible, certain
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, a_digest, b, b_digest) that link: bitmaps first, then the
-    sorted arrays of the pairs that are left."""
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, bounded: bool = False) -> DataFrame:
+    """The pairs (a, a_digest, b, b_digest) that link: bitmaps first, unless
+    they are ``bounded`` by them already, then the sorted arrays of the pairs
+    that are left."""
     possible, certain = _linked(percent)
 
-    def with_sides(df: DataFrame, *columns: str) -> DataFrame:
+    def with_sides(df: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
         for side in "ab":
             own = sets.select(F.col("id").alias(side), F.col("digest").alias(f"{side}_digest"), *[F.col(c).alias(f"{side}_{c}") for c in columns])
             df = df.join(own, [side, f"{side}_digest"])
         return df
 
-    bounded = with_sides(pairs, "n", "bits").filter(possible("a_bits", "a_n", "b_bits", "b_n"))
-    left = keep_table(bounded.select("a", "a_digest", "b", "b_digest"), "bounded")
-    return with_sides(left, "shingles").filter(certain("a_shingles", "b_shingles")).select("a", "b")
+    if not bounded:
+        pairs = with_sides(pairs, sets, "n", "bits").filter(possible("a_bits", "a_n", "b_bits", "b_n"))
+    pairs = keep_table(pairs.select("a", "a_digest", "b", "b_digest"), "bounded")
+    # Only the arrays of these pairs are shuffled.
+    ids = sets.sparkSession.sparkContext.broadcast(id_filter(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))))
+    arrays = sets.select("id", "digest", "shingles")
+    arrays = arrays.mapInArrow(lambda batches: _passing(batches, ids.value, "id"), arrays.schema)
+    return with_sides(pairs, arrays, "shingles").filter(certain("a_shingles", "b_shingles")).select("a", "b")
 
 
 def _ordered_pair():
@@ -298,11 +371,20 @@ def linked(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
 
 def _contested(percent: int):
     def pairs(table: pa.Table) -> pa.Table:
-        """Pairs of different components that sizes and bitmaps allow."""
-        cols = {c: table.column(c).to_numpy() for c in ("tile", "id", "digest", "size", "component")}
+        """Pairs of different components that share no earlier tile and that
+        sizes, places in the order and bitmaps allow."""
+        cols = {c: table.column(c).to_numpy() for c in ("tile", "id", "digest", "size", "rank", "component")}
         order = np.lexsort((cols["id"], cols["size"], cols["tile"]))
-        tile, ids, digests, sizes, comp = (cols[c][order] for c in ("tile", "id", "digest", "size", "component"))
+        tile, ids, digests, sizes, ranks, comp = (cols[c][order] for c in ("tile", "id", "digest", "size", "rank", "component"))
         bits = table.column("bits").take(pa.array(order)).to_pylist()
+        before = table.column("before").take(pa.array(order)).to_pylist()
+        earlier: dict[int, frozenset] = {}
+
+        def met_before(i: int, j: int) -> bool:
+            for k in (i, j):
+                if k not in earlier:
+                    earlier[k] = frozenset(unpacked_set(before[k]).tolist())
+            return not earlier[i].isdisjoint(earlier[j])
 
         def words(i: int, size: int) -> np.ndarray:
             """The bitmap folded to ``size`` bytes."""
@@ -332,9 +414,10 @@ def _contested(percent: int):
             width = min(len(bits[i]) for i in range(start, end))
             rows = np.stack([words(i, width) for i in range(start, end)])
             n = sizes[start:end]
+            most = partner_sizes(n, ranks[start:end].astype(np.int64), percent)
             for i in range(end - start):
-                stop = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-                others = np.flatnonzero(comp[start + i + 1 : start + stop] != comp[start + i]) + i + 1
+                stop = int(np.searchsorted(n, most[i], side="right"))
+                others = np.flatnonzero((comp[start + i + 1 : start + stop] != comp[start + i]) & (most[i + 1 : stop] >= n[i])) + i + 1
                 if not len(others):
                     continue
                 for block in np.array_split(others, -(-len(others) // 4096)):
@@ -343,6 +426,8 @@ def _contested(percent: int):
                     bound = np.minimum(n[i] - lacks, n[block] - extra)
                     passed = block[100 * bound >= percent * (n[i] + n[block] - bound)]
                     for j in closer(int(start), i, passed, n):
+                        if met_before(int(start) + i, int(start) + int(j)):
+                            continue
                         p, q = sorted(((int(ids[start + i]), int(digests[start + i])), (int(ids[start + j]), int(digests[start + j]))))
                         found.add((*p, *q))
         columns = list(zip(*found, strict=True)) or [[], [], [], []]
@@ -375,10 +460,12 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     blocks = identified.mapInArrow(_prefixes(length, percent, frequency, buckets), "bucket int, block binary")
     members = keep_table(blocks.groupBy("bucket").applyInArrow(_tiles(percent), MEMBERS), "tiles")
 
-    wanted = members.select(F.col("id").alias("_at_id")).distinct()
-    texts = identified.join(wanted, identified["_id"] == wanted["_at_id"], "left_semi")
+    wanted = spark.sparkContext.broadcast(id_filter(members.select("id").distinct()))
     sets = keep_table(
-        texts.mapInArrow(_set_rows(length), "id bigint, digest bigint, n bigint, bits binary, shingles binary"), "shingles"
+        identified.mapInArrow(
+            _set_rows(length, percent, frequency, wanted), "id bigint, digest bigint, n bigint, bits binary, shingles binary, prefix binary"
+        ),
+        "shingles",
     )
     tried = [
         members.filter(F.col("digest") != F.col(f"{other}_digest")).select(
@@ -392,25 +479,27 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     # The tiles that still hold several components.
     joined = components(links)
     placed = members.join(joined, members["id"] == joined["node"], "left").select(
-        "tile", "id", "digest", "size", F.coalesce("component", "id").alias("component")
+        "tile", "id", "digest", "size", "rank", F.coalesce("component", "id").alias("component")
     )
     placed = keep_table(placed, "placed")
     member = F.xxhash64("id", "digest")
     contested = placed.groupBy("tile").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"),
         F.bit_xor(member).alias("xor"), F.bit_xor(F.xxhash64(F.lit(1), "digest", "id")).alias("other_xor"),
+        F.sum("rank").alias("ranks"),
     ).filter("low < high")
-    # Tiles of the same members hold the same pairs: one of them will do.
-    contested = contested.groupBy("members", "xor", "other_xor").agg(F.min("tile").alias("tile"))
-    bits = sets.select(F.col("id").alias("of_id"), F.col("digest").alias("of_digest"), "bits").dropDuplicates(["of_id", "of_digest"])
+    # Tiles of the same members hold the same pairs: the first in the order, which is first in every member, will do.
+    contested = contested.groupBy("members", "xor", "other_xor").agg(F.min(F.struct("ranks", "tile"))["tile"].alias("tile"))
+    bits = sets.select(F.col("id").alias("of_id"), F.col("digest").alias("of_digest"), "bits", "prefix").dropDuplicates(["of_id", "of_digest"])
     open_members = placed.join(contested.select("tile"), "tile", "left_semi")
-    open_members = open_members.join(bits, (F.col("id") == F.col("of_id")) & (F.col("digest") == F.col("of_digest"))).drop("of_id", "of_digest")
+    open_members = open_members.join(bits, (F.col("id") == F.col("of_id")) & (F.col("digest") == F.col("of_digest")))
+    open_members = open_members.withColumn("before", F.expr("substring(prefix, 1, 6 * rank)")).drop("of_id", "of_digest", "prefix")
     pairs = (
         open_members.withColumn("bucket", F.pmod(F.xxhash64("tile"), F.lit(buckets)))
         .groupBy("bucket")
         .applyInArrow(_contested(percent), "a bigint, a_digest bigint, b bigint, b_digest bigint")
     )
-    more = confirmed(pairs.distinct(), sets, percent)
+    more = confirmed(pairs.distinct(), sets, percent, bounded=True)
     classes = keep_table(every.filter("digest <> 0").groupBy("digest", "size").agg(F.min("id").alias("stands")), "classes")
     versions = every.filter("digest <> 0").join(classes, ["digest", "size"]).select(F.col("id").alias("a"), F.col("stands").alias("b"))
     all_links = links.unionByName(more).unionByName(versions)

@@ -7,6 +7,7 @@ from gridtide.llm.ngram_join import bitmap, overlap_bound
 from hypothesis import given, settings
 from hypothesis import strategies as st
 import numpy as np
+import pyarrow as pa
 
 
 def by_id(rows, *columns):
@@ -94,6 +95,53 @@ def test_bitmaps_bound_the_overlap(a, extra):
     assert overlap_bound(bitmap(x), len(x), bitmap(y), len(y)) >= len(a & b)
 
 
+def test_few_pairs_of_near_misses_are_looked_at(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base, docs = [f"w{i}" for i in range(200)], []
+    for i in range(40):
+        words = list(base)
+        for at in rng.choice(40, 4, replace=False) * 5:
+            words[at] = f"x{i}y{at}"
+        docs.append((i, " ".join(words)))
+    counts, confirmed = [], ngram_join.confirmed
+
+    def counted(pairs, *args, **kwargs):
+        counts.append(pairs.count())
+        return confirmed(pairs, *args, **kwargs)
+
+    monkeypatch.setattr(ngram_join, "confirmed", counted)
+    got = ngram_join.ngram_join(framed(spark, docs)).collect()
+    want = brute.near_duplicates(docs)
+    assert by_id(got, "n_shingles", "component_id") == want and len({c for _, c in want.values()}) > 1
+    assert counts[1] < 100  # of 780
+
+
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1, 40), st.integers(0, 9)), max_size=25), st.sampled_from([50, 75, 100]))
+@settings(max_examples=200, deadline=None)
+def test_members_without_a_partner_leave_a_tile(members, percent):
+    members = sorted((t, n, min(r, n - 1)) for t, n, r in members)
+    tile, n, rank = (np.array([m[k] for m in members], dtype=np.int64) for k in range(3))
+    got = ngram_join.have_partners(tile, n, ngram_join.partner_sizes(n, rank, percent))
+
+    def may_link(a, b):
+        return a[0] == b[0] and ngram_join.linked(min(a[1] - a[2], b[1] - b[2]), a[1], b[1], percent)
+
+    assert got.tolist() == [any(i != j and may_link(a, b) for j, b in enumerate(members)) for i, a in enumerate(members)]
+
+
+def test_id_filter_passes_its_ids(spark):
+    ids = [-5, 0, 7, 1 << 62, *range(1000, 3000)]
+    words = ngram_join.id_filter(spark.createDataFrame([(i,) for i in ids], "id bigint"))
+
+    def passed(values):
+        batch = pa.RecordBatch.from_pydict({"_id": pa.array(values, pa.int64())})
+        return next(ngram_join._passing(iter([batch]), words)).column("_id").to_pylist()
+
+    assert passed(ids) == ids and len(passed(list(range(10_000, 20_000)))) < 2000
+    none = ngram_join.id_filter(spark.createDataFrame([], "id bigint"))
+    assert next(ngram_join._passing(iter([pa.RecordBatch.from_pydict({"_id": pa.array([1], pa.int64())})]), none)).num_rows == 0
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(50)] + [(60, 70), (70, 60), (70, 70), (None, 3)] + [(100, 200 + i) for i in range(80)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
