@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridtide.llm.common import keep_table, shuffle_width, whole
-from gridtide.llm.components import components
+from gridtide.llm.components import components, shuffled_if_large
 from gridtide.llm.exchange import Records, hash_bytes
 from gridtide.llm.words import Slice, in_slices, mixed, range_hashes
 
@@ -351,6 +351,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, bounded: bool = F
     if not bounded:
         pairs = with_sides(pairs, sets, "n", "bits").filter(possible("a_bits", "a_n", "b_bits", "b_n"))
     pairs = keep_table(pairs.select("a", "a_digest", "b", "b_digest"), "bounded")
+    pairs = shuffled_if_large(pairs, pairs.count())
     # Only the arrays of these pairs are shuffled.
     ids = sets.sparkSession.sparkContext.broadcast(id_filter(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))))
     arrays = sets.select("id", "digest", "shingles")

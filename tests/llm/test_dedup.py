@@ -149,6 +149,29 @@ def test_components(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("rows", [0, 20_000])
+def test_large_sides_are_not_sent_through_the_driver(spark, monkeypatch, rows):
+    from gridtide.llm import components as module
+
+    monkeypatch.setattr(module, "BROADCAST_ROWS", rows, raising=False)
+    plans, kept = [], module.keep_table
+
+    def keep(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(module, "keep_table", keep)
+    links = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(80)]
+    found = components(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert {r["node"]: r["component"] for r in found.collect()} == {i: 0 for i in range(51)} | {100: 100} | {200 + i: 100 for i in range(80)}
+    joined = spark.createDataFrame([(i,) for i in range(300)], "node bigint").join(found, "node", "left")
+    plans.append(joined._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 3
+    # Exploded rows never, and none at all if there are more than a few.
+    assert not any("Broadcast" in p and "Generate" in p for p in plans)
+    assert rows or not any("Broadcast" in p for p in plans)
+
+
 def test_empty_tables(empty_docs):
     for frame in (
         exact_dedup.exact_dedup(empty_docs), line_dedup.line_dedup(empty_docs),
