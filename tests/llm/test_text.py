@@ -261,6 +261,27 @@ def test_host_boilerplate_outside_articles(spark):
     assert all(t.startswith("this long sentence") for t in kept)
 
 
+@pytest.mark.parametrize("group_pages", [1000, 7, 1])
+def test_notice_inside_articles_goes(spark, group_pages):
+    notice = "the same notice of fifteen words stands inside the article of every page of this host"
+    own = [" ".join(f"w{i}x{n}" for n in range(40)) for i in range(30)]
+    rows = [(i, "http://host.example/x", page(f"<article><p>{own[i]}</p><div>{notice}</div></article>")[1]) for i in range(30)]
+    again = [(100 + i, "http://host.example/x", page(f"<div>{i}</div><article><p>{own[0]} and on</p><div>{notice}</div></article>")[1]) for i in range(4)]
+    frame = spark.createDataFrame(rows + again, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(frame, group_pages=group_pages).collect()}
+    # An article that several pages of the host have is republished and stays whole.
+    whole = {100 + i: f"{own[0]} and on {notice}" for i in range(4)}
+    assert got == {0: f"{own[0]} {notice}"} | dict(enumerate(own[1:], 1)) | whole
+
+
+@given(st.lists(st.integers(0, 2**48 - 1), unique=True))
+@settings(max_examples=50, deadline=None)
+def test_packed_runs(runs):
+    runs = np.array(sorted(runs), np.uint64)
+    got, pages = html_text.unpack_runs(html_text.pack_runs(runs, np.arange(len(runs))))
+    assert got.tolist() == runs.tolist() and pages.tolist() == list(range(len(runs)))
+
+
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=14), max_size=6))
 @settings(max_examples=80, deadline=None)
 def test_covered_tokens(pages):
